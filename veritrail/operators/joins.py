@@ -1,0 +1,89 @@
+"""Join shapes that plain equi-joins do not cover well at scale."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+HOT_ROWS = 5_000_000
+SPLITS = 64
+
+
+def join_unique(
+    fact: DataFrame,
+    dim: DataFrame,
+    keys: Sequence[str],
+    *,
+    row_id: str,
+    how: str = "left",
+    hot_rows: int = HOT_ROWS,
+    splits: int = SPLITS,
+) -> DataFrame:
+    """Join ``fact`` to ``dim`` (one row per key) without a hot task.
+
+    AQE splits a skewed partition only when it comes straight from a shuffle.
+    A dimension that is itself an aggregate sits between the shuffle and the
+    join, so a key holding a third of ``fact`` would land in one task. Here the
+    keys with at least ``hot_rows`` rows are counted first (at most
+    rows / ``hot_rows`` of them, hence safe to broadcast), their fact rows are
+    spread over ``splits`` buckets by ``row_id`` and only their dimension rows
+    are repeated per bucket. Fact rows with a NULL key match nothing and are
+    spread as well. Every row is kept; only its placement changes.
+    """
+    keys = list(keys)
+    complete = F.lit(True)
+    for key in keys:
+        complete = complete & F.col(key).isNotNull()
+    hot = F.broadcast(
+        fact.where(complete)
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .where(F.col("_rows") >= hot_rows)
+        .select(*keys, F.lit(True).alias("_hot"))
+    )
+    bucket = F.pmod(F.xxhash64(row_id), F.lit(splits)).cast("int")
+    spread = (
+        fact.join(hot, keys, "left")
+        .withColumn("_salt", F.when(F.col("_hot") | ~complete, bucket).otherwise(0))
+        .drop("_hot")
+    )
+    every = F.sequence(F.lit(0), F.lit(splits - 1))
+    repeated = (
+        dim.join(hot, keys, "left")
+        .withColumn("_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0)))))
+        .drop("_hot")
+    )
+    return spread.join(repeated, [*keys, "_salt"], how).drop("_salt")
+
+
+def tiled_pairs(
+    catalogue: DataFrame,
+    members: DataFrame,
+    *,
+    member_id: str,
+    on: Sequence[str] = (),
+    tiles: int | None = None,
+) -> DataFrame:
+    """Every (catalogue, member) pair that agrees on ``on``.
+
+    The pairs are the result itself, so their number cannot be reduced; what
+    can be chosen is who builds them. Members are spread evenly over tiles by
+    a hash of their id and the catalogue is repeated once per tile, which turns
+    the product into an equi-join of balanced tasks. Neither side is broadcast
+    or collected, and a popular ``on`` value is split across all tiles.
+    """
+    spark = members.sparkSession
+    n = tiles or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = ["_tile", *on]
+    spread = members.withColumn("_tile", F.pmod(F.xxhash64(member_id), F.lit(n)).cast("int"))
+    repeated = catalogue.withColumn("_tile", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    # A fixed partition count keeps AQE from merging the tiles again: it sees
+    # the small inputs, not the large output. "merge" rules out a broadcast,
+    # whose size estimate would not include the repetition.
+    return (
+        spread.repartition(n, *keys)
+        .join(repeated.repartition(n, *keys).hint("merge"), keys)
+        .drop("_tile")
+    )
