@@ -129,7 +129,12 @@ def train(
     seed: int = SEED,
 ) -> PipelineModel:
     """Fit the forest. Pass ``inputs`` without ``historical_compliance`` and
-    ``days_to_remediation`` to leave out the columns that leak the label."""
+    ``days_to_remediation`` to leave out the columns that leak the label.
+
+    The fitted model is copied because its training summary refers to the
+    session and the training frame; a copy carries only the trees, which is
+    all that tasks need when the model is shipped to them.
+    """
     families = StringIndexer(
         inputCol="control_family_code", outputCol="family_index", handleInvalid="keep"
     ).fit(features)
@@ -142,7 +147,7 @@ def train(
         maxBins=max(BINS, len(families.labels) + 1),
     )
     assembler = VectorAssembler(inputCols=list(inputs), outputCol="features")
-    return Pipeline(stages=[families, assembler, forest]).fit(features)
+    return Pipeline(stages=[families, assembler, forest]).fit(features).copy()
 
 
 def area_under_roc(model: PipelineModel, test: DataFrame) -> float:

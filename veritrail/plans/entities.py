@@ -16,6 +16,7 @@ from veritrail import vocabulary as v
 from veritrail.functions.grading import at_least, first_match, lookup
 from veritrail.operators import silver as s
 from veritrail.sources import schemas
+from veritrail.sources.readers import spread_rows
 
 AS_OF = dt.date(2001, 6, 30)
 
@@ -193,7 +194,7 @@ def bronze_systems(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = _read(spark, sf_dir, "lineitem")
+    lineitem = spread_rows(_read(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
     part = _read(spark, sf_dir, "part").select("p_partkey", "p_type")
     return lineitem.join(part, lineitem["l_partkey"] == part["p_partkey"])
 
