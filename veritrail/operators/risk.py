@@ -69,11 +69,11 @@ def risk_features(assessments: DataFrame, systems: DataFrame, pairs: DataFrame)
     Evidence count and gap severity share one pair rollup, hence one join. A
     pair without any evidence is not in the observed gap table and scores 0.
     """
-    with_system = assessments.join(systems.select("system_id", "criticality"), "system_id", "left")
     joined = joins.join_unique(
-        with_system, _pair_severity(pairs), ["control_id", "system_id"], row_id="assessment_id"
+        assessments, _pair_severity(pairs), ["control_id", "system_id"], row_id="assessment_id"
     )
-    return _feature_columns(joined)
+    attributes = systems.select("system_id", "criticality")
+    return _feature_columns(joined.join(attributes, "system_id", "left"))
 
 
 def risk_features_matrix(
@@ -93,13 +93,13 @@ def risk_features_matrix(
     baseline = controls.select(
         "control_id", F.col(f"baseline_{v.EXPECTED_EVIDENCE_BASELINE}").alias("_required")
     )
-    placed = assessments.join(scope, "system_id", "left").join(baseline, "control_id", "left")
     joined = joins.join_unique(
-        placed, _pair_severity(pairs), ["control_id", "system_id"], row_id="assessment_id"
+        assessments, _pair_severity(pairs), ["control_id", "system_id"], row_id="assessment_id"
     )
+    placed = joined.join(scope, "system_id", "left").join(baseline, "control_id", "left")
     expected = F.col("_in_scope") & F.col("_required")
     severity = F.when(expected, F.coalesce("gap_severity", F.lit("Critical")))
-    return _feature_columns(joined.withColumn("gap_severity", severity))
+    return _feature_columns(placed.withColumn("gap_severity", severity))
 
 
 def split_bucket(row_id: str):
