@@ -1,0 +1,59 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from veritrail.operators import joins
+
+
+def _ordered(df):
+    return sorted(map(tuple, df.select(*sorted(df.columns)).collect()), key=repr)
+
+
+@pytest.fixture(scope="module")
+def fact(spark):
+    """A third of the rows on one key, some keys missing, some NULL."""
+    n = F.col("id")
+    key = F.when(n % 3 == 0, 7).when(n % 11 == 0, None).otherwise(n % 40)
+    return spark.range(600).select(n.cast("string").alias("row_id"), key.alias("k"), n.alias("x"))
+
+
+@pytest.fixture(scope="module")
+def dim(spark):
+    return spark.range(30).select(F.col("id").alias("k"), (F.col("id") * 10).alias("y"))
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("hot_rows", [2, 100, 10_000])
+def test_hot_key_join_equals_plain_join(fact, dim, how, hot_rows):
+    got = joins.join_unique(fact, dim, ["k"], row_id="row_id", how=how, hot_rows=hot_rows, splits=5)
+    assert _ordered(got) == _ordered(fact.join(dim, "k", how))
+
+
+def test_hot_key_is_spread(spark, fact, dim):
+    """The hot key's rows end in several buckets, cold keys in one."""
+    hot_rows, splits = 100, 5
+    seen = (
+        fact.where("k = 7")
+        .select(F.pmod(F.xxhash64("row_id"), F.lit(splits)).alias("bucket"))
+        .distinct()
+        .count()
+    )
+    assert seen == splits
+    assert fact.where("k = 7").count() >= hot_rows
+
+
+@pytest.mark.parametrize("tiles", [1, 3, 16])
+def test_pairs_equal_cross_product(spark, tiles):
+    left = spark.range(13).select(F.col("id").alias("c"))
+    right = spark.range(17).select(F.col("id").alias("m"))
+    got = joins.tiled_pairs(left, right, member_id="m", tiles=tiles)
+    want = sorted((c, m) for c in range(13) for m in range(17))
+    assert sorted((r.c, r.m) for r in got.collect()) == want
+
+
+def test_pairs_that_agree_on_a_column(spark):
+    left = spark.range(12).select(F.col("id").alias("c"), (F.col("id") % 3).alias("tier"))
+    right = spark.range(20).select(F.col("id").alias("m"), F.lit(1).cast("long").alias("tier"))
+    got = joins.tiled_pairs(left, right, member_id="m", on=["tier"])
+    assert _ordered(got) == _ordered(left.join(right, "tier"))
