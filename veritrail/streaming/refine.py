@@ -50,7 +50,7 @@ def failed_expectations(query: StreamingQuery, entity: str) -> dict[str, int]:
     totals: dict[str, int] = {}
     for progress in query.recentProgress:
         seen = progress["observedMetrics"].get(f"expectations_{entity}")
-        for name, count in (seen or {}).items():
+        for name, count in (seen.asDict() if seen else {}).items():
             totals[name] = totals.get(name, 0) + count
     return totals
 
