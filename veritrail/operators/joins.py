@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 HOT_ROWS = 5_000_000
 SPLITS = 64
+TILES_PER_PARTITION = 4
 
 
 def join_unique(
@@ -70,15 +71,25 @@ def tiled_pairs(
 
     The pairs are the result itself, so their number cannot be reduced; what
     can be chosen is who builds them. Members are spread evenly over tiles by
-    a hash of their id and the catalogue is repeated once per tile, which turns
-    the product into an equi-join of balanced tasks. Neither side is broadcast
-    or collected, and a popular ``on`` value is split across all tiles.
+    a hash of their id and the catalogue is repeated once per tile that has
+    members, which turns the product into an equi-join of balanced tasks.
+    Neither side is broadcast or collected, and a popular ``on`` value is split
+    across all tiles. Only the tile numbers, at most ``tiles`` integers, pass
+    through the driver.
     """
     spark = members.sparkSession
-    n = tiles or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Several tiles per core: hashing tile numbers to tasks is uneven, and many
+    # short tasks even out where few long ones would not.
+    n = tiles or TILES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = ["_tile", *on]
-    spread = members.withColumn("_tile", F.pmod(F.xxhash64(member_id), F.lit(n)).cast("int"))
-    repeated = catalogue.withColumn("_tile", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    tile = F.pmod(F.xxhash64(member_id), F.lit(n)).cast("int")
+    used = members.agg(F.collect_set(tile)).scalar()
+    spread = members.withColumn("_tile", tile)
+    repeated = (
+        catalogue.withColumn("_tiles", used)
+        .withColumn("_tile", F.explode("_tiles"))
+        .drop("_tiles")
+    )
     # A fixed partition count keeps AQE from merging the tiles again: it sees
     # the small inputs, not the large output. "merge" rules out a broadcast,
     # whose size estimate would not include the repetition.

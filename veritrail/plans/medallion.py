@@ -24,6 +24,31 @@ from veritrail.sources.sinks import write_table
 # Source tags of the two framework catalogues.
 SOURCE_TAGS = {"controls": "NIST_CSRC", "criteria": "AICPA"}
 CATALOGUES = ("controls", "criteria", "control_mapping", "systems")
+BRONZE_PROPERTIES = {
+    "controls": {"source": "NIST CSRC", "framework_version": "Rev 5"},
+    "criteria": {"source": "AICPA", "framework_version": "2017"},
+    "control_mapping": {"source": "AICPA-NIST Mapping"},
+    "systems": {"source": "CMDB Export"},
+    "assessments": {"source": "GRC Tool Export"},
+    "evidence": {"source": "Evidence Upload System"},
+}
+COMMENTS = {
+    "controls": "Security control catalogue",
+    "criteria": "Trust service criteria",
+    "control_mapping": "Crosswalk from controls to trust criteria",
+    "systems": "Systems in compliance certification scope",
+    "assessments": "Control assessment results",
+    "evidence": "Evidence uploads with their validity period",
+    "evidence_pairs": "Evidence rolled up per control and system",
+    "control_compliance_summary": "Compliance posture by control family",
+    "system_compliance_scorecard": "Compliance posture by system",
+    "cross_framework_mapping": "Controls with mapped criteria and compliance",
+    "evidence_gap_analysis": "Missing and expiring evidence",
+    "audit_readiness_metrics": "Audit readiness in one row",
+    "compliance_rules": "Compliance rules and their SQL checks",
+    "compliance_alerts": "Findings of the active rules",
+    "control_risk_predictions": "Predicted risk per assessment",
+}
 
 
 @dataclass(frozen=True)
@@ -60,7 +85,8 @@ def load_bronze(
         name: write_table(
             with_audit(df, source=SOURCE_TAGS.get(name)),
             f"{layers.bronze}.{name}",
-            properties={"quality": "bronze"},
+            comment=COMMENTS[name],
+            properties={"quality": "bronze", **BRONZE_PROPERTIES[name]},
         )
         for name, df in frames.items()
     }
@@ -83,6 +109,7 @@ def build_silver(spark: SparkSession, layers: Layers, as_of: dt.date) -> dict[st
         name: write_table(
             df,
             f"{layers.silver}.{name}",
+            comment=COMMENTS[name],
             properties={"quality": "silver"},
             metrics=quality.write_metrics(name),
         )
@@ -90,6 +117,15 @@ def build_silver(spark: SparkSession, layers: Layers, as_of: dt.date) -> dict[st
     }
 
 
+def _write_gold(df: DataFrame, layers: Layers, name: str) -> dict[str, object]:
+    return write_table(
+        df,
+        f"{layers.gold}.{name}",
+        comment=COMMENTS[name],
+        properties={"quality": "gold"},
+    )
+
+
 def build_gold(spark: SparkSession, layers: Layers, as_of: dt.date) -> dict[str, dict]:
     """The business tables. The (control, system) evidence rollup is stored
     first: gaps, scorecard and risk features all start from it."""
@@ -101,9 +137,8 @@ def build_gold(spark: SparkSession, layers: Layers, as_of: dt.date) -> dict[str,
     written = {}
 
     def store(name: str, df: DataFrame) -> DataFrame:
-        table = f"{layers.gold}.{name}"
-        written[name] = write_table(df, table, properties={"quality": "gold"})
-        return read_table(spark, table)
+        written[name] = _write_gold(df, layers, name)
+        return read_table(spark, f"{layers.gold}.{name}")
 
     pairs = store("evidence_pairs", rollups.evidence_pairs(evidence))
     store("control_compliance_summary", gold.compliance_summary(assessments, as_of))
@@ -135,7 +170,11 @@ def build_alerts(
 ) -> dict[str, dict]:
     """Store the rules, apply the active ones, store the alerts."""
     table = f"{layers.silver}.compliance_rules"
-    stored = write_table((book or rules.standard_rules()).to_frame(spark), table)
+    stored = write_table(
+        (book or rules.standard_rules()).to_frame(spark),
+        table,
+        comment=COMMENTS["compliance_rules"],
+    )
     active = rules.RuleBook.from_frame(read_table(spark, table))
     alerts = rules.all_alerts(
         read_table(spark, f"{layers.silver}.evidence"),
@@ -147,7 +186,7 @@ def build_alerts(
     )
     return {
         "compliance_rules": stored,
-        "compliance_alerts": write_table(alerts, f"{layers.gold}.compliance_alerts"),
+        "compliance_alerts": _write_gold(alerts, layers, "compliance_alerts"),
     }
 
 
@@ -165,7 +204,7 @@ def build_risk(spark: SparkSession, layers: Layers, as_of: dt.date) -> dict[str,
     model = risk.train(train_rows)
     auc = risk.area_under_roc(model, test_rows)
     name = "control_risk_predictions"
-    written = write_table(risk.score(model, features, as_of), f"{layers.gold}.{name}")
+    written = _write_gold(risk.score(model, features, as_of), layers, name)
     return {name: {**written, "auc": auc}}
 
 
