@@ -72,14 +72,11 @@ def load_bronze(
     """Read the landing files of the six entities into bronze tables.
 
     Catalogue columns are typed by inference. Assessments are the large CSV, so
-    they are read as text unless asked otherwise; silver parses them anyway.
+    only their header is read ahead and columns stay text unless asked
+    otherwise; silver parses them anyway.
     """
     frames = {name: read_csv(spark, landing[name]) for name in CATALOGUES}
-    frames["assessments"] = read_csv(
-        spark,
-        landing["assessments"],
-        schema=None if infer_assessments else schemas.text_schema(schemas.ASSESSMENT_COLUMNS),
-    )
+    frames["assessments"] = read_csv(spark, landing["assessments"], infer=infer_assessments)
     frames["evidence"] = read_jsonl(spark, landing["evidence"], schema=schemas.EVIDENCE_SCHEMA)
     return {
         name: write_table(

@@ -20,6 +20,11 @@ from veritrail.sources.readers import read_csv
 from veritrail.sources.schemas import text_schema
 
 
+# A run works through its backlog in batches of this many files, so a restart
+# repeats at most one batch.
+FILES_PER_BATCH = 10_000
+
+
 def remembered_schema(spark: SparkSession, path: str, location: str) -> StructType:
     """Schema of the CSV files at ``path``: read once, then always the same.
 
@@ -39,49 +44,62 @@ def _load_json(spark: SparkSession, location: str) -> dict:
     return json.loads(spark.read.text(location, wholetext=True).head()[0])
 
 
+def _file_stream(spark: SparkSession, schema: StructType, files_per_batch: int):
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+
+
 def csv_stream(
-    spark: SparkSession, path: str, schema: StructType, *, files_per_batch: int | None = None
+    spark: SparkSession, path: str, schema: StructType, *, files_per_batch: int = FILES_PER_BATCH
 ) -> DataFrame:
     """New CSV files only. A file whose header disagrees with the schema stops
     the stream instead of putting values into the wrong columns."""
-    reader = spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return with_audit(reader.csv(path), file=True)
+    reader = _file_stream(spark, schema, files_per_batch)
+    return with_audit(
+        reader.option("header", True).option("enforceSchema", False).csv(path), file=True
+    )
 
 
 def json_stream(
-    spark: SparkSession, path: str, schema: StructType, *, files_per_batch: int | None = None
+    spark: SparkSession, path: str, schema: StructType, *, files_per_batch: int = FILES_PER_BATCH
 ) -> DataFrame:
-    reader = spark.readStream.schema(schema).option("multiLine", False)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return with_audit(reader.json(path), file=True)
+    reader = _file_stream(spark, schema, files_per_batch)
+    return with_audit(reader.option("multiLine", False).json(path), file=True)
 
 
 def table_stream(
-    spark: SparkSession, path: str, *, files: str | None = None, schema: StructType | None = None
+    spark: SparkSession,
+    path: str,
+    *,
+    files: str | None = None,
+    schema: StructType | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> DataFrame:
     """Rows added to a Parquet table folder since the last run. ``files`` is a
     file-name pattern that picks one table out of a shared folder."""
     schema = schema or spark.read.parquet(path).schema
-    reader = spark.readStream.schema(schema)
+    reader = _file_stream(spark, schema, files_per_batch)
     if files:
         reader = reader.option("pathGlobFilter", files)
     return reader.parquet(path)
 
 
 def append_available(
-    stream: DataFrame, target: str, checkpoint: str, *, timeout: int = 3600
+    stream: DataFrame, target: str, checkpoint: str, *, timeout: int | None = None
 ) -> StreamingQuery:
-    """Append everything available now to the Parquet table at ``target``."""
+    """Append everything available now to the Parquet table at ``target``.
+
+    Waits until the backlog is done, or stops after ``timeout`` seconds; the
+    batches committed so far stay and the next run goes on from there.
+    """
     query = (
         stream.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start(target)
     )
-    if not query.awaitTermination(timeout):
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"ingestion into {target} did not finish in {timeout} s")
     return query
