@@ -45,10 +45,10 @@ def is_true_text(c: Column) -> Column:
 def parse_date(c: Column) -> Column:
     """``yyyy-MM-dd`` text to a date, anything else to NULL.
 
-    Casting is several times faster than parsing with a format but also takes
-    looser texts (one-digit months, trailing time), so a cast counts only when
-    writing the date out again gives the same text. Columns that a reader has
-    already typed are converted as they are.
+    Casting costs less than parsing with a format but also takes looser texts
+    (one-digit months, trailing time), so a cast counts only when writing the
+    date out again gives the same text. Columns that a reader has already typed
+    are converted as they are.
     """
     day = c.try_cast("date")
     same_text = day.cast("string") == c.cast("string")
