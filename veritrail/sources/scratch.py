@@ -1,30 +1,23 @@
 """Shared scratch storage for intermediate tables.
 
 The cluster names a shared folder in ``spark.checkpoint.dir``; everything
-temporary goes there, so any executor (or its replacement) can read it. Only a
-local session without that setting falls back to a fresh temporary folder.
+temporary goes there, so any executor (or its replacement) can read it. A
+session without that setting gets a folder below its warehouse, which is shared
+storage as well.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, str] = {}
-
 
 def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_roots.setdefault(
-        context.applicationId, tempfile.mkdtemp(prefix="veritrail-scratch-")
-    )
+    if not root:
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return root.rstrip("/")
 
 
 def new_scratch_dir(spark: SparkSession, label: str) -> str:
