@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritrail.llm import chat, url_filter
+import public_tokenizers
+from veritrail.llm import byte_bpe, chat, packing, url_filter
 from veritrail.llm.common import table
 
 #: Fixed values of the url rules: action, host, path.
@@ -30,6 +31,24 @@ def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def byte_bpe_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ids = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN, keep=["doc_id"])
+    decoded = byte_bpe.decode(ids, ranks, public_tokenizers.PATTERN)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame(
@@ -41,6 +60,8 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_url_filters": url_filters,
+    "op5_byte_bpe": byte_bpe_ids,
+    "op6_best_fit_packing": best_fit_packing,
     "op10_chat_formatting": chat_formatting,
 }
 STATEMENTS: dict[str, str] = {}
