@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from veritrail.llm import byte_bpe, chat, packing, url_filter
+from veritrail.llm import byte_bpe, chat, language_id, license_scan, packing, url_filter
 from veritrail.llm.common import table
 
 #: Fixed values of the url rules: action, host, path.
@@ -19,6 +19,28 @@ URL_RULES = (
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
 
 
+def language_pieces() -> str:
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def language_models(docs: DataFrame):
+    """Fitted on labelled rows that are not held out; a null id is not learned
+    from, since its remainder is unknown."""
+    known = docs.where(F.col("doc_id").isNotNull() & ~language_id.held_out(F.col("doc_id")))
+    return language_id.fit(known.select("doc_id", "lang", "text"), language_pieces())
+
+
+def language_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    models = language_models(docs)
+    plain = docs.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "text")
+    return language_id.predict(plain, models, language_pieces()).drop("text")
+
+
+def license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     rules = spark.createDataFrame(
@@ -59,6 +81,8 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": language_ids,
+    "op2_license_scans": license_scans,
     "op3_url_filters": url_filters,
     "op5_byte_bpe": byte_bpe_ids,
     "op6_best_fit_packing": best_fit_packing,
