@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from veritrail.llm import byte_bpe, chat, language_id, license_scan, packing, url_filter
+from veritrail.llm import byte_bpe, chat, language_id, license_scan, packing, pii, url_filter
 from veritrail.llm.common import table
 
 #: Fixed values of the url rules: action, host, path.
@@ -71,6 +71,28 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def _span_text(spans: Column) -> Column:
+    return F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+    )
+
+
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.annotate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"] != "term")
+
+    def count(kind: str) -> Column:
+        own = F.filter("spans", lambda s: s["kind"] == kind)
+        return F.size(own).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(count, pii.PATTERNS),
+        F.sha2(_span_text(base), 256).alias("base_sha256"),
+        _span_text(F.col("spans")).alias("spans"),
+    )
+
+
 def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame(
@@ -86,6 +108,7 @@ QUERIES = {
     "op3_url_filters": url_filters,
     "op5_byte_bpe": byte_bpe_ids,
     "op6_best_fit_packing": best_fit_packing,
+    "op9_personal_data": personal_data,
     "op10_chat_formatting": chat_formatting,
 }
 STATEMENTS: dict[str, str] = {}
