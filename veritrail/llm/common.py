@@ -119,22 +119,3 @@ def block_pairs(members: DataFrame, key: str, member: str, size: int) -> DataFra
         .withColumn("right", F.greatest("_own", "_other"))
         .drop("_n", "_of", "_other")
     )
-
-
-class Forest:
-    """Union-find over 0..n-1 whose roots are the smallest members."""
-
-    def __init__(self, n: int):
-        self.parent = np.arange(n)
-
-    def find(self, i: int) -> int:
-        parent = self.parent
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return int(i)
-
-    def union(self, i: int, j: int) -> None:
-        i, j = self.find(i), self.find(j)
-        if i != j:
-            self.parent[max(i, j)] = min(i, j)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from veritrail.llm import byte_bpe, chat, language_id, license_scan, packing, pii, url_filter
+from veritrail.llm import byte_bpe, chat, language_id, license_scan, minhash, packing, pii, url_filter
 from veritrail.llm.common import table
 
 #: Fixed values of the url rules: action, host, path.
@@ -71,6 +71,11 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.near_duplicates(docs, shingle=4)
+
+
 def _span_text(spans: Column) -> Column:
     return F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
@@ -108,6 +113,7 @@ QUERIES = {
     "op3_url_filters": url_filters,
     "op5_byte_bpe": byte_bpe_ids,
     "op6_best_fit_packing": best_fit_packing,
+    "op8_minhash_near_dedup": minhash_near_dedup,
     "op9_personal_data": personal_data,
     "op10_chat_formatting": chat_formatting,
 }
