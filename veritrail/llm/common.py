@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import itertools
+import os
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +17,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def importable(df: DataFrame) -> DataFrame:
+    """``df``, whose Python workers find this package where the driver does,
+    also if the session was started from another folder."""
+    root = str(Path(__file__).resolve().parents[2])
+    known = df.sparkSession.sparkContext.environment
+    paths = [p for p in known.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    return df
+
+
 def arrow_rows(df: DataFrame, work: Callable, schema: str) -> DataFrame:
     """``mapInArrow`` over ``df``. ``work`` is a factory, called once per task;
     its step maps a record batch to column dictionaries and is called with None
@@ -31,7 +44,7 @@ def arrow_rows(df: DataFrame, work: Callable, schema: str) -> DataFrame:
                     [pa.array(columns[n], type=arrow.field(n).type) for n in names], schema=arrow
                 )
 
-    return df.mapInArrow(run, out)
+    return importable(df).mapInArrow(run, out)
 
 
 def _arrow_schema(schema) -> pa.Schema:
@@ -83,7 +96,7 @@ def grouped_arrow(
         if held:
             yield emit(held)
 
-    return placed.mapInArrow(run, out)
+    return importable(placed).mapInArrow(run, out)
 
 
 def _starts(rows: pa.Table, keys: Sequence[str]) -> np.ndarray:

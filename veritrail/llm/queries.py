@@ -6,7 +6,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from veritrail.llm import byte_bpe, chat, language_id, license_scan, minhash, packing, pii, url_filter
+from veritrail.llm import (
+    byte_bpe,
+    chat,
+    language_id,
+    lattice_dedup,
+    license_scan,
+    minhash,
+    packing,
+    pii,
+    url_filter,
+)
 from veritrail.llm.common import table
 
 #: Fixed values of the url rules: action, host, path.
@@ -71,6 +81,10 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return minhash.near_duplicates(docs, shingle=4)
@@ -111,6 +125,7 @@ QUERIES = {
     "op1_language_id": language_ids,
     "op2_license_scans": license_scans,
     "op3_url_filters": url_filters,
+    "op4_embedding_near_dedup": embedding_near_dedup,
     "op5_byte_bpe": byte_bpe_ids,
     "op6_best_fit_packing": best_fit_packing,
     "op8_minhash_near_dedup": minhash_near_dedup,
