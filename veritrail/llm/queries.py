@@ -13,6 +13,7 @@ from veritrail.llm import (
     lattice_dedup,
     license_scan,
     minhash,
+    nn_descent,
     packing,
     pii,
     url_filter,
@@ -85,6 +86,11 @@ def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nn_descent.nearest(vectors, every=50)
+
+
 def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return minhash.near_duplicates(docs, shingle=4)
@@ -128,6 +134,7 @@ QUERIES = {
     "op4_embedding_near_dedup": embedding_near_dedup,
     "op5_byte_bpe": byte_bpe_ids,
     "op6_best_fit_packing": best_fit_packing,
+    "op7_nearest_neighbours": nearest_neighbours,
     "op8_minhash_near_dedup": minhash_near_dedup,
     "op9_personal_data": personal_data,
     "op10_chat_formatting": chat_formatting,
