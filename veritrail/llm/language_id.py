@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veritrail.llm.common import arrow_rows
+from veritrail.llm.common import arrow_rows, importable
 from veritrail.sources.scratch import materialise
 
 #: Bound on the labelled rows learned from, for each language (on average).
@@ -32,12 +32,15 @@ TRAINING_ROWS = 1500
 ROUNDS = 3
 #: Count that every piece has in every language beforehand.
 PRIOR = 0.02
+#: Tasks that share the rounds of fitting, at most.
+FITTED_IN = 12
 #: Letters scored, and learned from, as one word at most.
 LONGEST = 256
 LEARNED = 24
 #: Words whose likelihoods a worker keeps.
-CACHED_WORDS = 200_000
-LETTERS_AT_ONCE = 150_000
+CACHED_WORDS = 120_000
+LETTERS_AT_ONCE = 100_000
+WORDS_AT_ONCE = 150_000
 #: Languages that a model may have; more are an error, nothing is left out.
 MAX_LANGUAGES = 500
 UNKNOWN = "und"
@@ -235,7 +238,8 @@ def word_counts(labelled: DataFrame) -> DataFrame:
         return step
 
     parts = arrow_rows(labelled.select("lang", "text"), work, "lang string, word string, n long")
-    return parts.groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    # A table of bounded size; many small parts would each meet every piece.
+    return parts.groupBy("lang", "word").agg(F.sum("n").alias("n")).coalesce(FITTED_IN)
 
 
 def _one_round(words: DataFrame, path: str, models: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
@@ -363,7 +367,7 @@ def predict(
                 continue
             preds, scores = [], []
             texts = (words_of(t.as_py() or "") for t in batch.column(source))
-            for portion in _portions(texts, 300_000):
+            for portion in _portions(texts, WORDS_AT_ONCE):
                 totals = scorer.totals(portion) if scorer else None
                 for i, words in enumerate(portion):
                     if totals is None or not has_letter(words):
@@ -378,7 +382,7 @@ def predict(
                 names=schema.names,
             )
 
-    return frame.mapInArrow(run, schema)
+    return importable(frame).mapInArrow(run, schema)
 
 
 def held_out(doc_id: Column) -> Column:
