@@ -58,9 +58,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def sanitise_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data and the terms that disclose it. All documents
-    stay; null texts become empty and n_chars follows the new text."""
+    stay and n_chars follows the new text; null texts stay as they are."""
     clean = pii.sanitise(pii.annotate(docs.select(*COLUMNS)))
-    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    return clean.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars")).select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
