@@ -109,13 +109,13 @@ def standard_rules() -> RuleBook:
         RuleBook()
         .insert(
             "expired_evidence",
-            "Evidence has expired or expires within 30 days",
+            "Flags evidence past its end and evidence with under a month left",
             check(("FAIL", "is_expired"), ("WARN", f"days_until_expiry < {v.EXPIRES_SOON_DAYS}")),
             "HIGH",
         )
         .insert(
             "overdue_remediation",
-            "Remediation is overdue or due within 14 days",
+            "Flags open fixes past their due day and those due in two weeks",
             check(
                 (
                     "CRITICAL",
@@ -128,7 +128,7 @@ def standard_rules() -> RuleBook:
         )
         .insert(
             "stale_assessment",
-            "System assessment is older than 9 months",
+            "Flags systems whose last assessment lies three quarters of a year back",
             check(
                 ("FAIL", f"days_since_assessment > {v.ASSESSMENT_VALID_DAYS}"),
                 ("WARN", f"days_since_assessment > {v.ASSESSMENT_STALE_WARN_DAYS}"),
@@ -137,7 +137,7 @@ def standard_rules() -> RuleBook:
         )
         .insert(
             "critical_system_coverage",
-            "Critical/High systems must meet compliance thresholds",
+            "Flags important systems that score below their target",
             check(
                 ("FAIL", "criticality = 'Critical' AND compliance_percentage < 90"),
                 ("WARN", "criticality = 'Critical' AND compliance_percentage < 95"),
@@ -147,7 +147,7 @@ def standard_rules() -> RuleBook:
         )
         .insert(
             "evidence_gap",
-            "Control has critical or high severity evidence gap",
+            "Flags controls whose evidence is missing or about to lapse",
             check(("FAIL", "gap_severity = 'Critical'"), ("WARN", "gap_severity = 'High'")),
             "HIGH",
         )
