@@ -67,7 +67,7 @@ def test_batch_bronze_keeps_rows_and_tags(spark, batch):
     layers, _ = batch
     controls = spark.table(f"{layers.bronze}.controls")
     assert [r[0] for r in controls.select("_source").distinct().collect()] == ["control-catalogue"]
-    assert dict(controls.dtypes)["baseline_low"] == "boolean"
+    assert dict(controls.dtypes)["baseline_low"] == "string"
     assert "_ingestion_timestamp" in spark.table(f"{layers.bronze}.evidence").columns
 
 

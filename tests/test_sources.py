@@ -91,10 +91,3 @@ def test_scratch_is_shared_and_fresh(spark, people):
     assert first != second and first.startswith(root)
     assert sorted(scratch.materialise(people, "people").collect()) == sorted(people.collect())
 
-
-def test_spread_rows_only_touches_unsplittable_tables(spark):
-    few, many = spark.range(100, numPartitions=1), spark.range(100, numPartitions=64)
-    assert readers.spread_rows(many, "id") is many
-    spread = readers.spread_rows(few, "id")
-    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread.count() == 100

@@ -63,9 +63,9 @@ def test_batches_are_bounded_by_file_count(spark, tmp_path):
     source, store = str(tmp_path / "in"), str(tmp_path / "store")
     for i in range(3):
         landing.land_csv(_assessments(spark, [str(i)]).coalesce(1), source)
-    query = ingest.ingest_csv(spark, source, store, "assessments", files_per_batch=1)
-    busy = [p for p in query.recentProgress if p["numInputRows"]]
-    assert len(busy) == 3 and ingest.rows_read(query) == 3
+    run = ingest.ingest_csv(spark, source, store, "assessments", files_per_batch=1)
+    busy = [p for p in run.query.recentProgress if p["numInputRows"]]
+    assert len(busy) == 3 and ingest.rows_read(run) == 3
 
 
 def test_evidence_json_stream(spark, tmp_path):
@@ -111,3 +111,33 @@ def test_one_table_of_a_shared_folder(spark, tmp_path):
     stream = ingest.table_stream(spark, str(folder), files="beta.parquet")
     ingest.append_available(stream, str(tmp_path / "out"), str(tmp_path / "cp"))
     assert [r.v for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [2]
+
+
+def test_every_batch_counts(spark, tmp_path):
+    """More batches than the stream's progress keeps: rows and failures of all
+    of them are counted."""
+    kept = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(kept)
+    spark.conf.set(kept, "3")
+    try:
+        source, store = str(tmp_path / "in"), str(tmp_path / "store")
+        for i in range(8):
+            rows = _assessments(spark, [f"{i}a", f"{i}b"], "planned")
+            landing.land_csv(rows.coalesce(1), source)
+        run = ingest.ingest_csv(spark, source, store, "assessments", files_per_batch=1)
+        assert ingest.rows_read(run) == 16
+        raw = ingest.table_stream(spark, f"{store}/bronze/assessments", files_per_batch=1)
+        target = f"{store}/silver/assessments"
+        cleaned = refine.CLEANERS["assessments"](raw.drop(ingest.RUN_COLUMN))
+        run = ingest.append_available(cleaned, target, f"{store}/checkpoints/s")
+        assert refine.failed_expectations(run, "assessments")["failed_valid_status"] == 16
+    finally:
+        spark.conf.set(kept, before)
+
+
+def test_a_schema_write_that_died_is_repaired(spark, tmp_path):
+    source, location = str(tmp_path / "in"), tmp_path / "schema"
+    landing.land_csv(spark.createDataFrame([("1", "2")], "a string, b string"), source)
+    location.mkdir()
+    assert ingest.remembered_schema(spark, source, str(location)).names == ["a", "b"]
+    assert ingest.remembered_schema(spark, source, str(location)).names == ["a", "b"]

@@ -38,8 +38,8 @@ def category_code(criterion_id: Column) -> Column:
 
 
 def is_true_text(c: Column) -> Column:
-    """Works on the text TRUE/FALSE and on an already inferred boolean."""
-    return c == F.lit("TRUE")
+    """Text in any case, with or without blanks, or an already typed boolean."""
+    return F.upper(F.trim(c.cast("string"))) == F.lit("TRUE")
 
 
 def parse_date(c: Column) -> Column:

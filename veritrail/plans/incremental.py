@@ -25,17 +25,20 @@ CATALOGUES = ("controls", "criteria", "control_mapping")
 
 def advance(spark: SparkSession, landing: Mapping[str, str], store: str) -> dict[str, int]:
     """Process files that arrived since the last call. Returns new rows per entity."""
-    new_rows = {}
-    for entity in STREAMED:
+
+    def start(entity: str) -> ingest.Run:
         if entity == "evidence":
-            query = ingest.ingest_json(
+            return ingest.start_json(
                 spark, landing[entity], store, entity, schemas.EVIDENCE_SCHEMA
             )
-        else:
-            query = ingest.ingest_csv(spark, landing[entity], store, entity)
-        new_rows[entity] = ingest.rows_read(query)
-        refine.refine(spark, store, entity)
-    return new_rows
+        return ingest.start_csv(spark, landing[entity], store, entity)
+
+    # The entities are independent: their streams run side by side.
+    landed = {entity: start(entity) for entity in STREAMED}
+    refined = [refine.start_refine(spark, store, e) for e, run in landed.items() if run.wait()]
+    for run in refined:
+        run.wait()
+    return {entity: ingest.rows_read(run) for entity, run in landed.items()}
 
 
 def catalogues(spark: SparkSession, landing: Mapping[str, str]) -> dict[str, DataFrame]:

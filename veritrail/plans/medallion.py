@@ -23,7 +23,7 @@ from veritrail.sources.sinks import write_table
 
 # Tags of the two framework catalogues.
 SOURCE_TAGS = {"controls": "control-catalogue", "criteria": "criteria-catalogue"}
-CATALOGUES = ("controls", "criteria", "control_mapping", "systems")
+LANDED_CSV = ("controls", "criteria", "control_mapping", "systems", "assessments")
 BRONZE_PROPERTIES = {
     "controls": {"origin": "control catalogue"},
     "criteria": {"origin": "criteria catalogue"},
@@ -67,16 +67,14 @@ class Layers:
 
 
 def load_bronze(
-    spark: SparkSession, landing: Mapping[str, str], layers: Layers, *, infer_assessments=False
+    spark: SparkSession, landing: Mapping[str, str], layers: Layers
 ) -> dict[str, dict]:
     """Read the landing files of the six entities into bronze tables.
 
-    Catalogue columns are typed by inference. Assessments are the large CSV, so
-    only their header is read ahead and columns stay text unless asked
-    otherwise; silver parses them anyway.
+    All columns stay text and silver parses them. Inference would read every
+    file once more and give ids like ``0012`` another form in each file.
     """
-    frames = {name: read_csv(spark, landing[name]) for name in CATALOGUES}
-    frames["assessments"] = read_csv(spark, landing["assessments"], infer=infer_assessments)
+    frames = {name: read_csv(spark, landing[name], infer=False) for name in LANDED_CSV}
     frames["evidence"] = read_jsonl(spark, landing["evidence"], schema=schemas.EVIDENCE_SCHEMA)
     return {
         name: write_table(

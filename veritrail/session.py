@@ -11,8 +11,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
-    # Row and expectation counts of a stream run are summed over its batches.
-    "spark.sql.streaming.numRecentProgressUpdates": "10000",
 }
 
 

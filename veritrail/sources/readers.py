@@ -34,16 +34,3 @@ def read_jsonl(spark: SparkSession, path: str, *, schema: StructType | None = No
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
-
-def spread_rows(df: DataFrame, *keys: str) -> DataFrame:
-    """Use every core on a table whose files cannot be split further.
-
-    A scan gets one task per row group, so a table in fewer row groups than
-    there are cores leaves cores idle in every later step up to the next
-    shuffle. Such a table is small by construction and is hashed out once by
-    ``keys``. A table with enough partitions, so any large one, is unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)

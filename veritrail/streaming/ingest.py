@@ -8,10 +8,13 @@ executor or driver continues where the last committed batch ended.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -32,16 +35,24 @@ def remembered_schema(spark: SparkSession, path: str, location: str) -> StructTy
     text, so no data row is read) and stores them at ``location``; later calls
     return the stored schema.
     """
-    try:
-        return StructType.fromJson(_load_json(spark, location))
-    except AnalysisException:
-        schema = text_schema(read_csv(spark, path, infer=False).columns)
-    spark.createDataFrame([(schema.json(),)], "value string").write.mode("ignore").text(location)
-    return StructType.fromJson(_load_json(spark, location))
+    stored = _stored_schema(spark, location)
+    if stored is None:
+        stored = text_schema(read_csv(spark, path, infer=False).columns)
+        line = spark.createDataFrame([(stored.json(),)], "value string")
+        line.coalesce(1).write.mode("overwrite").text(location)
+    return stored
 
 
-def _load_json(spark: SparkSession, location: str) -> dict:
-    return json.loads(spark.read.text(location, wholetext=True).head()[0])
+def _stored_schema(spark: SparkSession, location: str) -> StructType | None:
+    """The stored schema; None if there is none, or only the folder of a write
+    that died, which the next write replaces."""
+    try:
+        row = spark.read.text(location, wholetext=True).head()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return StructType.fromJson(json.loads(row[0])) if row else None
 
 
 def _file_stream(spark: SparkSession, schema: StructType, files_per_batch: int):
@@ -83,49 +94,92 @@ def table_stream(
     return reader.parquet(path)
 
 
-def append_available(
-    stream: DataFrame, target: str, checkpoint: str, *, timeout: int | None = None
-) -> StreamingQuery:
-    """Append everything available now to the Parquet table at ``target``.
-
-    Waits until the backlog is done, or stops after ``timeout`` seconds; the
-    batches committed so far stay and the next run goes on from there.
-    """
+# Every stored row carries the id of the run that wrote it. What a run did is
+# counted over its stored rows: a stream's own progress keeps only its last
+# batches.
+RUN_COLUMN = "_run"
+
+
+@dataclass(frozen=True)
+class Run:
+    """A run that appends to the table at ``target``."""
+
+    query: StreamingQuery
+    target: str
+    run_id: str
+
+    def wait(self, timeout: int | None = None) -> Run:
+        """Until the backlog is done. After ``timeout`` seconds it is stopped;
+        the batches committed so far stay and the next run goes on there."""
+        if timeout is None:
+            self.query.awaitTermination()
+        elif not self.query.awaitTermination(timeout):
+            self.query.stop()
+            raise TimeoutError(f"ingestion into {self.target} did not finish in {timeout} s")
+        return self
+
+    def rows(self) -> DataFrame | None:
+        """The rows that this run stored; None before the table's first batch."""
+        try:
+            stored = SparkSession.active().read.parquet(self.target)
+        except AnalysisException as error:
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            return None
+        return stored.where(F.col(RUN_COLUMN) == self.run_id)
+
+
+def start_append(stream: DataFrame, target: str, checkpoint: str) -> Run:
+    """Start appending everything available now to the Parquet table at ``target``."""
+    run_id = uuid.uuid4().hex
     query = (
-        stream.writeStream.format("parquet")
+        stream.withColumn(RUN_COLUMN, F.lit(run_id))
+        .writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start(target)
     )
-    if timeout is None:
-        query.awaitTermination()
-    elif not query.awaitTermination(timeout):
-        query.stop()
-        raise TimeoutError(f"ingestion into {target} did not finish in {timeout} s")
-    return query
+    return Run(query, target, run_id)
 
 
-def rows_read(query: StreamingQuery) -> int:
-    return sum(p["numInputRows"] for p in query.recentProgress)
+def append_available(
+    stream: DataFrame, target: str, checkpoint: str, *, timeout: int | None = None
+) -> Run:
+    return start_append(stream, target, checkpoint).wait(timeout)
+
+
+def rows_read(run: Run) -> int:
+    rows = run.rows()
+    return rows.count() if rows is not None else 0
 
 
 def ingest_csv(
     spark: SparkSession, landing: str, store: str, entity: str, **options
-) -> StreamingQuery:
+) -> Run:
     """Landing CSV files -> bronze table of ``entity``."""
+    return start_csv(spark, landing, store, entity, **options).wait()
+
+
+def start_csv(spark: SparkSession, landing: str, store: str, entity: str, **options) -> Run:
     schema = remembered_schema(spark, landing, f"{store}/schemas/{entity}")
     stream = csv_stream(spark, landing, schema, **options)
-    return append_available(
+    return start_append(
         stream, f"{store}/bronze/{entity}", f"{store}/checkpoints/bronze_{entity}"
     )
 
 
 def ingest_json(
     spark: SparkSession, landing: str, store: str, entity: str, schema: StructType, **options
-) -> StreamingQuery:
+) -> Run:
     """Landing JSON-lines files -> bronze table of ``entity``."""
+    return start_json(spark, landing, store, entity, schema, **options).wait()
+
+
+def start_json(
+    spark: SparkSession, landing: str, store: str, entity: str, schema: StructType, **options
+) -> Run:
     stream = json_stream(spark, landing, schema, **options)
-    return append_available(
+    return start_append(
         stream, f"{store}/bronze/{entity}", f"{store}/checkpoints/bronze_{entity}"
     )
 

@@ -10,7 +10,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
 
 from veritrail.operators import quality
 from veritrail.operators import silver as s
@@ -31,30 +30,29 @@ DATERS = {
 }
 
 
-def refine(spark: SparkSession, store: str, entity: str) -> StreamingQuery:
-    """Clean the bronze rows that are new and append them to silver.
-
-    Expectation failures are counted on the way and reported in the query's
-    progress; no row is dropped.
-    """
-    raw = ingest.table_stream(spark, f"{store}/bronze/{entity}")
-    cleaned = CLEANERS[entity](raw)
-    watched = cleaned.observe(f"expectations_{entity}", *quality.write_metrics(entity))
-    return ingest.append_available(
-        watched, f"{store}/silver/{entity}", f"{store}/checkpoints/silver_{entity}"
+def start_refine(spark: SparkSession, store: str, entity: str) -> ingest.Run:
+    raw = ingest.table_stream(spark, f"{store}/bronze/{entity}").drop(ingest.RUN_COLUMN)
+    return ingest.start_append(
+        CLEANERS[entity](raw), f"{store}/silver/{entity}", f"{store}/checkpoints/silver_{entity}"
     )
 
 
-def failed_expectations(query: StreamingQuery, entity: str) -> dict[str, int]:
-    """Failures per expectation over all batches of the run."""
-    totals: dict[str, int] = {}
-    for progress in query.recentProgress:
-        seen = progress["observedMetrics"].get(f"expectations_{entity}")
-        for name, count in (seen.asDict() if seen else {}).items():
-            totals[name] = totals.get(name, 0) + count
-    return totals
+def refine(spark: SparkSession, store: str, entity: str) -> ingest.Run:
+    """Clean the bronze rows that are new and append them to silver. No row is
+    dropped; :func:`failed_expectations` counts what fails."""
+    return start_refine(spark, store, entity).wait()
+
+
+def failed_expectations(run: ingest.Run, entity: str) -> dict[str, int]:
+    """Failures per expectation over all rows that the run stored."""
+    rows = run.rows()
+    metrics = quality.write_metrics(entity)
+    if rows is None:
+        return {}
+    return {name: n or 0 for name, n in rows.agg(*metrics).head().asDict().items()}
 
 
 def silver_table(spark: SparkSession, store: str, entity: str, as_of: dt.date) -> DataFrame:
     """Snapshot of the streamed silver table with its day columns at ``as_of``."""
-    return DATERS[entity](spark.read.parquet(f"{store}/silver/{entity}"), as_of)
+    stored = spark.read.parquet(f"{store}/silver/{entity}").drop(ingest.RUN_COLUMN)
+    return DATERS[entity](stored, as_of)
