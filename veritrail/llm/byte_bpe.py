@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veritrail.llm.common import importable
 from veritrail.llm.word_encoder import WordEncoder, byte_chars, single_threaded
 
 #: White space next to the space that a text would be cut at.
@@ -80,7 +81,7 @@ def words_of(text: str) -> list[str]:
 
 
 def encode_text(text: str, words: WordEncoder) -> np.ndarray:
-    return np.frombuffer(b"".join(map(words.__getitem__, words_of(text))), "<u4")
+    return np.frombuffer(words.encode(words_of(text)), "<u4")
 
 
 def offsets_of(text: str, ids: np.ndarray, token_bytes: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -130,7 +131,7 @@ def encode(
                 columns.append(pa.ListArray.from_arrays(at, np.concatenate(values)))
             yield pa.RecordBatch.from_arrays(columns, names=[*kept, *new])
 
-    return frame.mapInArrow(run, schema)
+    return importable(frame).mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFrame:
@@ -143,11 +144,11 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFram
         _, tokens = _worker(path, pattern)
         for batch in batches:
             done = [
-                None if v is None else b"".join(map(tokens.__getitem__, v))
-                for v in batch.column(ids).to_pylist()
+                b"".join(map(tokens.__getitem__, v.values.to_pylist())) if v.is_valid else None
+                for v in batch.column(ids)
             ]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(done, pa.binary())], names=schema.names
             )
 
-    return frame.mapInArrow(run, schema)
+    return importable(frame).mapInArrow(run, schema)

@@ -24,14 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from veritrail.llm.common import arrow_rows
+from veritrail.llm.common import arrow_rows, importable
 from veritrail.llm.word_encoder import WordEncoder, single_threaded
 from veritrail.sources.scratch import materialise
 
 CAPACITY = 4096
 CLOSING_ID = 1
 #: Pieces of one length that are ranked together in a task.
-RANKED_TOGETHER = 20_000
+RANKED_TOGETHER = 1_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -43,14 +43,17 @@ def _worker(path: str) -> WordEncoder:
         single_threaded()
         from tokenizers import Tokenizer
 
-        _workers[path] = WordEncoder(Tokenizer.from_file(path), True)
+        tokenizer = Tokenizer.from_file(path)
+        # Strings of special tokens in a text are ordinary text.
+        tokenizer.encode_special_tokens = True
+        _workers[path] = WordEncoder(tokenizer, True)
     return _workers[path]
 
 
 def packed_ids(text: str, words: WordEncoder) -> bytes:
     """A document's ids; white space belongs to no match, so words are cut at it."""
     parts = text.replace("\n", " ").split(" ")
-    return b"".join(map(words.__getitem__, parts)) + CLOSING_ID.to_bytes(4, "little")
+    return words.encode(parts) + CLOSING_ID.to_bytes(4, "little")
 
 
 def pieces(
@@ -201,7 +204,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 names=[*kept, "sequence_id", "offset"],
             )
 
-    return ranked(parts).mapInArrow(place, schema)
+    return importable(ranked(parts)).mapInArrow(place, schema)
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:

@@ -12,8 +12,8 @@ import os
 import re
 from array import array
 
-#: Words kept by a worker before its cache starts anew.
-CACHED_WORDS = 250_000
+#: Words that a worker keeps, and as many from before that it still knows.
+CACHED_WORDS = 300_000
 
 _LATIN = re.compile("( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
 
@@ -27,9 +27,12 @@ def byte_chars() -> dict[int, str]:
 
 
 _BYTE_CHARS = byte_chars()
+_SPACE = _BYTE_CHARS[32]
 
 
 def byte_level(text: str) -> str:
+    if text.isascii() and text.isalpha():
+        return text
     return text.encode().decode("latin-1").translate(_BYTE_CHARS)
 
 
@@ -38,41 +41,80 @@ def single_threaded() -> None:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
 
 
-class WordEncoder(dict):
-    """word -> its ids as little-endian unsigned 32-bit integers."""
+class WordEncoder:
+    """Ids of words as little-endian unsigned 32-bit integers."""
 
     def __init__(self, tokenizer, lower: bool):
-        super().__init__()
         self.tokenizer = tokenizer
         self.model = tokenizer.model
         self.lower = lower
-
-    def whole(self, text: str) -> bytes:
-        return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    @staticmethod
-    def _packed(ids) -> bytes:
-        return array("I", ids).tobytes()
-
-    def __missing__(self, word: str) -> bytes:
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.marks = {m: self.whole(m) for m in ".,;:!?"}
+
+    def encode(self, words: list[str]) -> bytes:
+        """Ids of the words in a row."""
+        if len(self.known) >= CACHED_WORDS:
+            self.before, self.known = self.known, {}
+        known = self.known
+        found = list(map(known.get, words))
+        if None in found:
+            self._learn({w for w, ids in zip(words, found) if ids is None})
+            found = [known[w] if ids is None else ids for w, ids in zip(words, found)]
+        return b"".join(found)
+
+    def _learn(self, missing: set[str]) -> None:
+        """The common case, ASCII letters with or without a closing mark, in
+        one loop; all other words one by one."""
+        known, before, marks, tokenize = self.known, self.before, self.marks, self.model.tokenize
+        for word in missing:
+            ids = before.get(word)
+            if ids is None:
+                mark = marks.get(word[-1:], b"")
+                core = word[:-1] if mark else word
+                spaced = core[:1] == " "
+                letters = core[1:] if spaced else core
+                if not (letters.isascii() and letters.isalpha()):
+                    ids = self._other(word)
+                else:
+                    ids = (known.get(core) or before.get(core)) if mark else None
+                    if ids is None:
+                        plain = letters
+                        if self.lower:
+                            plain = letters.lower()
+                        elif spaced:
+                            plain = _SPACE + letters
+                        ids = array("I", [t.id for t in tokenize(plain)]).tobytes()
+                        if mark:
+                            known[core] = ids
+                    ids += mark
+            known[word] = ids
+
+    def _other(self, word: str) -> bytes:
         m = _LATIN.fullmatch(word)
         if not m:
-            ids = self.broken(word)
-        elif m[3]:
-            ids = self[m[1] + m[2]] + self[m[3]]
-        else:
-            plain = m[2].lower() if self.lower else word
-            ids = self._packed([t.id for t in self.model.tokenize(byte_level(plain))])
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        self[word] = ids
-        return ids
-
-    def broken(self, word: str) -> bytes:
+            return self._broken(word)
+        space, letters, mark = m.groups()
+        text = byte_level(letters.lower() if self.lower else letters)
+        if space and not self.lower:
+            text = _SPACE + text
+        ids = array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
+        return ids + self.marks[mark] if mark else ids
+
+    def _broken(self, word: str) -> bytes:
         """Ids of a word that is not plain; a lone line feed between two
         non-spaces is a match of its own."""
         if not self.lower and word.count("\n") == 1:
             left, _, right = word.partition("\n")
             if left and right and not left[-1].isspace() and not right[0].isspace():
-                return self[left] + self.whole("\n") + self[right]
+                return self.encode_one(left) + self.encode_one("\n") + self.encode_one(right)
         return self.whole(word)
+
+    def encode_one(self, word: str) -> bytes:
+        if word not in self.known:
+            self._learn({word})
+        return self.known[word]
+
+    def whole(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return array("I", ids).tobytes()
