@@ -159,11 +159,17 @@ def test_matrix_lists_pairs_without_evidence(spark, as_of):
         (r["control_id"], r["system_id"]): r
         for r in rows(gold.evidence_gap_matrix(controls, inventory, pairs, as_of))
     }
-    assert set(got) == {(c, i) for c in ("AC-1", "AC-2") for i in ("1", "2")}
-    assert got["AC-1", "1"]["gap_severity"] == "Low"
-    empty = got["AC-2", "2"]
-    assert empty["total_evidence_count"] is None and empty["has_current_evidence"] is False
-    assert (empty["gap_severity"], empty["evidence_status"]) == ("Critical", "Missing")
+    assert set(got) == {("AC-1", "1")} and got["AC-1", "1"]["gap_severity"] == "Low"
+    lists = {(r["side"], r["entity_id"]) for r in rows(gold.expected_evidence(controls, inventory))}
+    assert lists == {("control", "AC-1"), ("control", "AC-2"), ("system", "1"), ("system", "2")}
+    named = rows(gold.expected_pairs(controls, inventory, ["2", "4"]))
+    assert {(r["control_id"], r["system_id"]) for r in named} == {("AC-1", "2"), ("AC-2", "2")}
+    missing = by(gold.missing_by_system(controls, inventory, pairs), "system_id")
+    assert {k: (r["expected_pairs"], r["missing_pairs"]) for k, r in missing.items()} == {
+        "1": (2, 1), "2": (2, 2),
+    }
+    missing = by(gold.missing_by_control(controls, inventory, pairs), "control_id")
+    assert {k: r["missing_pairs"] for k, r in missing.items()} == {"AC-1": 1, "AC-2": 2}
     histogram = gold.gap_severity_histogram_matrix(controls, inventory, pairs)
     assert {r["gap_severity"]: r["count"] for r in rows(histogram)} == {"Low": 1, "Critical": 3}
 
@@ -255,9 +261,14 @@ def test_summary_invariants(spark):
 
 def test_matrix_size(spark):
     e = Entities(spark, SMALL)
-    expected = gold.expected_evidence(e.controls, e.systems).count()
+    pairs = rollups.evidence_rollup(rollups.evidence_pairs(e.evidence))
     moderate = e.controls.where("baseline_moderate").count()
-    assert expected == moderate * rollups.in_scope(e.systems).count()
+    expected = moderate * rollups.in_scope(e.systems).count()
+    held = gold.evidence_gap_matrix(e.controls, e.systems, pairs, AS_OF).count()
+    for table in (gold.missing_by_system, gold.missing_by_control):
+        got = table(e.controls, e.systems, pairs)
+        sums = got.selectExpr("sum(expected_pairs)", "sum(missing_pairs)").head()
+        assert tuple(sums) == (expected, expected - held)
 
 
 def test_overall_compliance_is_zero_when_nothing_is_assessable(spark, as_of):
@@ -304,11 +315,13 @@ def test_applicable_controls_follow_criticality(spark, as_of):
         ],
     )
     got = sorted(
-        (r["system_id"], r["control_id"])
+        (r["system_id"], r["required_baseline"], r["applicable_controls"])
         for r in rows(profiles.applicable_controls(controls, inventory))
     )
-    assert got == [
-        ("c", "AA-1"), ("c", "AA-2"), ("c", "AA-3"), ("h", "AA-1"), ("h", "AA-2"), ("l", "AA-1"),
+    assert got == [("c", "high", 3), ("h", "moderate", 2), ("l", "low", 1)]
+    listed = rows(profiles.required_baselines(controls))
+    assert sorted(r["control_id"] for r in listed if r["required_baseline"] == "moderate") == [
+        "AA-1", "AA-2",
     ]
 
 

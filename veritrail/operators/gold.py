@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veritrail import vocabulary as v
 from veritrail.functions import grading as g
-from veritrail.operators import joins, rollups
+from veritrail.operators import rollups
+from veritrail.sources.scratch import materialise
 
 
 def stamped(df: DataFrame, as_of: dt.date) -> DataFrame:
@@ -91,9 +93,10 @@ def cross_framework(
 ) -> DataFrame:
     """Controls left-joined to their mapped criteria, measures repeated per mapping.
 
-    One control or criterion may own a large share of the mappings, so the
-    mapping is the fact side of both joins and its hot keys are split. Controls
-    without any mapping are added from an anti join.
+    One control or criterion may own a large share of the mappings. The measures
+    are stored first: then both sides of the joins come straight from a shuffle,
+    and Spark splits a hot key's rows by their size. Controls without any
+    mapping are added from an anti join.
     """
     measured = controls.join(control_rollup, "control_id", "left").select(
         F.col("control_id").alias("nist_control_id"),
@@ -105,8 +108,8 @@ def cross_framework(
         g.one_decimal(g.zero_if_null(F.col("avg_compliance_pct"))).alias("avg_compliance_pct"),
         g.zero_if_null(F.col("total_assessments")).alias("total_assessments"),
     )
+    measured = materialise(measured, "control-measures")
     links = mapping.select(
-        "mapping_id",
         F.col("source_control_id").alias("nist_control_id"),
         F.col("target_control_id").alias("soc2_tsc_id"),
         "mapping_type",
@@ -116,13 +119,10 @@ def cross_framework(
         F.col("tsc_name").alias("soc2_tsc_name"),
         F.col("tsc_category").alias("soc2_category"),
     )
-    described = joins.join_unique(links, targets, ["soc2_tsc_id"], row_id="mapping_id")
-    mapped = joins.join_unique(
-        described, measured, ["nist_control_id"], row_id="mapping_id", how="inner"
-    )
+    mapped = links.join(targets, "soc2_tsc_id", "left").join(measured, "nist_control_id")
     sources = links.select("nist_control_id").distinct()
     unmapped = measured.join(sources, "nist_control_id", "left_anti")
-    rows = mapped.drop("mapping_id").unionByName(unmapped, allowMissingColumns=True)
+    rows = mapped.unionByName(unmapped, allowMissingColumns=True)
     return stamped(
         rows.select(
             "nist_control_id",
@@ -162,13 +162,43 @@ def evidence_gap_observed(evidence_rollup: DataFrame, as_of: dt.date) -> DataFra
     return _with_gap_columns(evidence_rollup, as_of)
 
 
-def expected_evidence(controls: DataFrame, systems: DataFrame) -> DataFrame:
-    """Every moderate-baseline control for every in-scope system."""
-    required = controls.where(F.col(f"baseline_{v.EXPECTED_EVIDENCE_BASELINE}")).select(
+def _required(controls: DataFrame) -> DataFrame:
+    return controls.where(F.col(f"baseline_{v.EXPECTED_EVIDENCE_BASELINE}")).select(
         "control_id", "control_name", "control_family"
     )
-    covered = rollups.in_scope(systems).select("system_id", "system_name")
-    return joins.tiled_pairs(required, covered, member_id="system_id").select(
+
+
+def _covered(systems: DataFrame) -> DataFrame:
+    return rollups.in_scope(systems).select("system_id", "system_name")
+
+
+def expected_evidence(controls: DataFrame, systems: DataFrame) -> DataFrame:
+    """Who owes evidence for what: every required control for every covered
+    system. The two lists say it in controls + systems rows; a pair is expected
+    if both of its sides are listed."""
+    required = _required(controls).select(
+        F.lit("control").alias("side"),
+        F.col("control_id").alias("entity_id"),
+        F.col("control_name").alias("entity_name"),
+        F.col("control_family").alias("control_family"),
+    )
+    covered = _covered(systems).select(
+        F.lit("system").alias("side"),
+        F.col("system_id").alias("entity_id"),
+        F.col("system_name").alias("entity_name"),
+        F.lit(None).cast("string").alias("control_family"),
+    )
+    return required.unionByName(covered)
+
+
+def expected_pairs(
+    controls: DataFrame, systems: DataFrame, system_ids: Sequence[str]
+) -> DataFrame:
+    """The expected pairs of the systems named, one row each."""
+    named = _required(controls).withColumn(
+        "system_id", F.explode(F.lit(list(system_ids)).cast("array<string>"))
+    )
+    return named.join(_covered(systems), "system_id").select(
         "control_id", "system_id", "control_name", "control_family", "system_name"
     )
 
@@ -176,11 +206,54 @@ def expected_evidence(controls: DataFrame, systems: DataFrame) -> DataFrame:
 def evidence_gap_matrix(
     controls: DataFrame, systems: DataFrame, evidence_rollup: DataFrame, as_of: dt.date
 ) -> DataFrame:
-    """Gaps over the expected matrix; measures stay NULL where no evidence exists."""
-    expected = expected_evidence(controls, systems)
-    return _with_gap_columns(
-        expected.join(evidence_rollup, ["control_id", "system_id"], "left"), as_of
+    """Gaps of the expected pairs that have any evidence. An expected pair
+    without a row here has none, so it is Missing and Critical; how many these
+    are, :func:`missing_by_system` and :func:`missing_by_control` say."""
+    held = (
+        evidence_rollup.join(_required(controls), "control_id")
+        .join(_covered(systems), "system_id")
+        .select(
+            "control_id",
+            "system_id",
+            "control_name",
+            "control_family",
+            "system_name",
+            "total_evidence_count",
+            "current_evidence_count",
+            "days_until_expiry",
+            "last_evidence_date",
+        )
     )
+    return _with_gap_columns(held, as_of)
+
+
+def _missing(own: DataFrame, key: str, others: DataFrame, held: DataFrame) -> DataFrame:
+    """Per row of ``own``: how many of ``others`` it owes, has, and lacks."""
+    counted = held.groupBy(key).agg(F.count(F.lit(1)).alias("pairs_with_evidence"))
+    expected = others.agg(F.count(F.lit(1))).scalar()
+    return (
+        own.join(counted, key, "left")
+        .withColumn("expected_pairs", expected)
+        .withColumn("pairs_with_evidence", F.coalesce("pairs_with_evidence", F.lit(0)))
+        .withColumn("missing_pairs", F.col("expected_pairs") - F.col("pairs_with_evidence"))
+        .select(key, "expected_pairs", "pairs_with_evidence", "missing_pairs")
+    )
+
+
+def missing_by_system(
+    controls: DataFrame, systems: DataFrame, evidence_rollup: DataFrame
+) -> DataFrame:
+    required, covered = _required(controls), _covered(systems)
+    held = evidence_rollup.join(required, "control_id", "left_semi")
+    return _missing(covered, "system_id", required, held)
+
+
+def missing_by_control(
+    controls: DataFrame, systems: DataFrame, evidence_rollup: DataFrame
+) -> DataFrame:
+    required, covered = _required(controls), _covered(systems)
+    held = evidence_rollup.join(covered, "system_id", "left_semi")
+    return _missing(required, "control_id", covered, held)
 
 
 def audit_readiness(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from veritrail import vocabulary as v
 from veritrail.functions import grading as g
-from veritrail.operators import joins, rollups
+from veritrail.operators import rollups
 
 TOP_EVIDENCE_TYPES = 5
 
@@ -23,11 +23,8 @@ def required_baselines(controls: DataFrame) -> DataFrame:
 
 
 def applicable_controls(controls: DataFrame, systems: DataFrame) -> DataFrame:
-    """Controls each in-scope system must meet, by its criticality.
-
-    Resolving every system to one baseline first turns the condition into an
-    equality, and the three baselines are spread over tiles.
-    """
+    """The baseline each in-scope system must meet, by its criticality, and the
+    number of its controls; :func:`required_baselines` lists these once."""
     needs = rollups.in_scope(systems).select(
         "system_id",
         "criticality",
@@ -35,9 +32,17 @@ def applicable_controls(controls: DataFrame, systems: DataFrame) -> DataFrame:
             F.col("criticality"), v.BASELINE_FOR_CRITICALITY, v.BASELINE_OTHERWISE
         ).alias("required_baseline"),
     )
-    return joins.tiled_pairs(
-        required_baselines(controls), needs, member_id="system_id", on=["required_baseline"]
-    ).select("system_id", "control_id", "criticality", "required_baseline")
+    sizes = (
+        required_baselines(controls)
+        .groupBy("required_baseline")
+        .agg(F.count(F.lit(1)).alias("applicable_controls"))
+    )
+    return needs.join(sizes, "required_baseline", "left").select(
+        "system_id",
+        "criticality",
+        "required_baseline",
+        F.coalesce("applicable_controls", F.lit(0)).alias("applicable_controls"),
+    )
 
 
 def _distribution(df: DataFrame, column: str, count_name: str) -> DataFrame:

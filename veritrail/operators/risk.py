@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from veritrail import vocabulary as v
 from veritrail.functions import grading as g
-from veritrail.operators import joins
 
 # Model inputs in order, label and forest settings.
 FEATURES = (
@@ -66,12 +65,11 @@ def _feature_columns(joined: DataFrame) -> DataFrame:
 def risk_features(assessments: DataFrame, systems: DataFrame, pairs: DataFrame) -> DataFrame:
     """Training rows, one per assessment.
 
-    Evidence count and gap severity share one pair rollup, hence one join. A
-    pair without any evidence is not in the observed gap table and scores 0.
+    Evidence count and gap severity share one pair rollup, hence one join. Give
+    ``pairs`` as a stored table: then both sides come straight from a shuffle and
+    Spark splits the rows of a hot pair by their size. A pair without any evidence is not in the observed gap table and scores 0.
     """
-    joined = joins.join_unique(
-        assessments, _pair_severity(pairs), ["control_id", "system_id"], row_id="assessment_id"
-    )
+    joined = assessments.join(_pair_severity(pairs), ["control_id", "system_id"], "left")
     attributes = systems.select("system_id", "criticality")
     return _feature_columns(joined.join(attributes, "system_id", "left"))
 
@@ -93,9 +91,7 @@ def risk_features_matrix(
     baseline = controls.select(
         "control_id", F.col(f"baseline_{v.EXPECTED_EVIDENCE_BASELINE}").alias("_required")
     )
-    joined = joins.join_unique(
-        assessments, _pair_severity(pairs), ["control_id", "system_id"], row_id="assessment_id"
-    )
+    joined = assessments.join(_pair_severity(pairs), ["control_id", "system_id"], "left")
     placed = joined.join(scope, "system_id", "left").join(baseline, "control_id", "left")
     expected = F.col("_in_scope") & F.col("_required")
     severity = F.when(expected, F.coalesce("gap_severity", F.lit("Critical")))

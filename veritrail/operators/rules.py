@@ -241,6 +241,25 @@ def gap_alerts(gaps: DataFrame, book: RuleBook, as_of: dt.date) -> DataFrame:
     )
 
 
+def missing_evidence_alerts(missing: DataFrame, book: RuleBook, as_of: dt.date) -> DataFrame:
+    """One alert per system that lacks expected evidence, with the number of
+    controls it is lacking for: each such pair is a Critical gap."""
+    lacking = missing.where(F.col("missing_pairs") > 0).withColumn(
+        "gap_severity", F.lit("Critical")
+    )
+    alerts = raise_alerts(
+        lacking,
+        book.named("evidence_gap"),
+        entity_type="system_evidence_gap",
+        entity_id="system_id",
+        control_id=None,
+        as_of=as_of,
+    )
+    return alerts.join(lacking.select("system_id", "missing_pairs"), "system_id").select(
+        *ALERT_COLUMNS, F.col("missing_pairs").alias("pairs")
+    )
+
+
 def all_alerts(
     evidence: DataFrame,
     assessments: DataFrame,

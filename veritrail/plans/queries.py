@@ -76,14 +76,27 @@ def _cross_framework(e: Entities) -> DataFrame:
     )
 
 
+def _stored_pairs(e: Entities) -> DataFrame:
+    return materialise(_pairs(e), "evidence-pairs")
+
+
 def _features(e: Entities) -> DataFrame:
-    return risk.risk_features(e.assessments, e.systems, _pairs(e))
+    return risk.risk_features(e.assessments, e.systems, _stored_pairs(e))
 
 
 def _alerts(e: Entities) -> DataFrame:
-    return rules.all_alerts(
-        e.evidence, e.assessments, _scorecard(e), _observed_gaps(e), rules.standard_rules(), AS_OF
+    """Each entity is cleaned once and stored; rules and gold read that."""
+    evidence = materialise(e.evidence, "silver-evidence")
+    assessments = materialise(e.assessments, "silver-assessments")
+    pairs = materialise(rollups.evidence_pairs(evidence), "evidence-pairs")
+    card = gold.system_scorecard(
+        e.systems,
+        rollups.system_assessment_rollup(assessments),
+        rollups.system_evidence_from_pairs(pairs),
+        AS_OF,
     )
+    gaps = gold.evidence_gap_observed(rollups.evidence_rollup(pairs), AS_OF)
+    return rules.all_alerts(evidence, assessments, card, gaps, rules.standard_rules(), AS_OF)
 
 
 # --- sources and sinks ------------------------------------------------------
@@ -249,6 +262,18 @@ def gold_evidence_gap_matrix(spark: SparkSession, folder: str) -> DataFrame:
     return _matrix_gaps(Entities(spark, folder))
 
 
+@query
+def gold_missing_by_system(spark: SparkSession, folder: str) -> DataFrame:
+    e = Entities(spark, folder)
+    return gold.missing_by_system(e.controls, e.systems, rollups.evidence_rollup(_pairs(e)))
+
+
+@query
+def gold_missing_by_control(spark: SparkSession, folder: str) -> DataFrame:
+    e = Entities(spark, folder)
+    return gold.missing_by_control(e.controls, e.systems, rollups.evidence_rollup(_pairs(e)))
+
+
 @query
 def gold_audit_readiness(spark: SparkSession, folder: str) -> DataFrame:
     return _readiness(Entities(spark, folder))
@@ -294,8 +319,19 @@ def alerts_evidence_gap(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def alerts_evidence_gap_matrix(spark: SparkSession, folder: str) -> DataFrame:
+    """Over the expected pairs: one alert per pair that has evidence, one per
+    system for all of its pairs that have none."""
     e = Entities(spark, folder)
-    return rules.gap_alerts(_matrix_gaps(e), rules.standard_rules(), AS_OF)
+    pairs = rollups.evidence_rollup(_stored_pairs(e))
+    book = rules.standard_rules()
+    held = gold.evidence_gap_matrix(e.controls, e.systems, pairs, AS_OF)
+    one = F.lit(1).cast("long").alias("pairs")
+    missing = gold.missing_by_system(e.controls, e.systems, pairs)
+    return (
+        rules.gap_alerts(held, book, AS_OF)
+        .select("*", one)
+        .unionByName(rules.missing_evidence_alerts(missing, book, AS_OF))
+    )
 
 
 @query
@@ -357,7 +393,7 @@ def risk_features(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def risk_features_matrix(spark: SparkSession, folder: str) -> DataFrame:
     e = Entities(spark, folder)
-    return risk.risk_features_matrix(e.assessments, e.systems, e.controls, _pairs(e))
+    return risk.risk_features_matrix(e.assessments, e.systems, e.controls, _stored_pairs(e))
 
 
 @query
@@ -407,6 +443,11 @@ def applicable_controls(spark: SparkSession, folder: str) -> DataFrame:
     return profiles.applicable_controls(e.controls, e.systems)
 
 
+@query
+def baseline_controls(spark: SparkSession, folder: str) -> DataFrame:
+    return profiles.required_baselines(Entities(spark, folder).controls)
+
+
 @query
 def status_distribution(spark: SparkSession, folder: str) -> DataFrame:
     return profiles.status_distribution(Entities(spark, folder).assessments)
