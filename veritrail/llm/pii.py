@@ -45,7 +45,7 @@ _HINTS = {
     "card": lambda t: t.rlike(r"[0-9](?:[\x20-]?+[0-9]){12}"),
     "phone": lambda t: F.contains(t, F.lit("+")),
 }
-_PART = "0*+(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+_PART = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 #: Digits of a card and of a phone number.
 CARD_DIGITS = (13, 19)
 PHONE_DIGITS = (9, 15)
@@ -215,9 +215,29 @@ def disclosing_terms(
         .agg(F.count(F.lit(1)).alias("n_et"), F.count_distinct("_hash").alias("texts"))
         .where(F.col("texts") >= support)
     )
-    together = materialise(together, "near-terms")
     holds = found.select("_id", "_hash", "entity").distinct()
     per_entity = holds.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    total = F.lit(float(docs.count()))
+
+    def strength(n_t: str) -> Column:
+        ratio = F.log(total * F.col("n_et") / F.col("n_e") / F.col(n_t))
+        return ratio / F.nullif(F.log(total / F.col("n_e")), F.lit(0.0))
+
+    # A word stands in at least the documents that have it near some entity.
+    # What is too weak even if there are no others needs no count over the corpus.
+    nearby = (
+        pairs.select("_id", "_hash", "term")
+        .distinct()
+        .groupBy("term")
+        .agg(F.count(F.lit(1)).alias("n_near"))
+    )
+    together = materialise(
+        together.join(per_entity, "entity")
+        .join(nearby, "term")
+        .where(strength("n_near") >= generalise)
+        .drop("n_near"),
+        "near-terms",
+    )
     terms = together.select("term").distinct()
     size = terms.agg(F.coalesce(F.sum(F.octet_length("term") + 32), F.lit(0))).head()[0]
     if not size:
@@ -230,16 +250,7 @@ def disclosing_terms(
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("n_t"))
     )
-    total = F.lit(float(docs.count()))
-    scored = (
-        together.join(per_entity, "entity")
-        .join(per_term, "term")
-        .withColumn(
-            "strength",
-            F.log(total * F.col("n_et") / F.col("n_e") / F.col("n_t"))
-            / F.nullif(F.log(total / F.col("n_e")), F.lit(0.0)),
-        )
-    )
+    scored = together.join(per_term, "term").withColumn("strength", strength("n_t"))
     return scored.where(F.col("strength") >= generalise).select("entity", "term", "strength")
 
 
