@@ -126,4 +126,30 @@ def test_many_families_fit(spark):
         ),
         (F.col("id") % 2).cast("double").alias(risk.LABEL),
     )
-    assert risk.train(df, trees=2).stages[-1].getNumTrees == 2
+    model = risk.train(df, trees=2)
+    assert model.stages[-1].getNumTrees == 2
+    assert len(model.stages[0].labels) == risk.FAMILIES - 1
+    assert model.transform(df).agg(F.max("family_index")).head()[0] == risk.FAMILIES - 1
+
+
+def test_malformed_ids_leave_the_bins_alone(spark):
+    df = spark.createDataFrame(
+        [("1", "AC"), ("2", "AC"), ("3", "AU"), ("4", ""), ("5", "")],
+        "assessment_id string, control_family_code string",
+    )
+    assert risk.family_labels(df) == ["AC", "AU"]
+
+
+def test_training_rows_are_bounded(spark):
+    df = spark.range(10_000).selectExpr("cast(id AS string) AS assessment_id")
+    assert 700 < risk.bounded_sample(df, 1000).count() < 1300
+    assert risk.bounded_sample(df, 10_000).count() == 10_000
+
+
+def test_area_by_ranks_counts_ordered_pairs(spark):
+    scored = [(0.1, 0.0), (0.4, 1.0), (0.4, 0.0), (0.8, 1.0), (0.2, 1.0), (0.2, 0.0), (0.9, 0.0)]
+    frame = spark.createDataFrame(scored, f"risk_score double, {risk.LABEL} double")
+    pos = [s for s, y in scored if y]
+    neg = [s for s, y in scored if not y]
+    want = sum((p > n) + (p == n) / 2 for p in pos for n in neg) / len(pos) / len(neg)
+    assert risk.area_by_ranks(frame).head()[0] == pytest.approx(want)

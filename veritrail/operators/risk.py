@@ -8,9 +8,9 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veritrail import vocabulary as v
@@ -30,6 +30,13 @@ TREES = 50
 DEPTH = 5
 SEED = 42
 BINS = 32
+# The forest needs a bin per family, one of them for unseen ones; families
+# beyond that, rarest first, count as unseen. BINS never follows the data.
+FAMILIES = BINS - 1
+SCORE_BANDS = 1000
+# Labelled rows to learn from, at most; a larger table is thinned by a hash of
+# the assessment id. Scoring always covers all rows.
+TRAINING_ROWS = 2_000_000
 TRAIN_BUCKETS = 8
 BUCKETS = 10
 
@@ -116,6 +123,24 @@ def train_test(features: DataFrame) -> tuple[DataFrame, DataFrame]:
     return tuple(marked.where(F.col("split") == part).drop("split") for part in ("train", "test"))
 
 
+def bounded_sample(features: DataFrame, max_rows: int) -> DataFrame:
+    """About ``max_rows`` rows at most, the same under any layout."""
+    rows = features.count()
+    if rows <= max_rows:
+        return features
+    spread = F.pmod(F.xxhash64("assessment_id"), F.lit(1_000_000))
+    return features.where(spread < int(1_000_000 * max_rows / rows))
+
+
+def family_labels(features: DataFrame) -> list[str]:
+    """The commonest well-formed families, commonest first. An id that does not
+    follow the control-id pattern has the family '' and adds no category."""
+    family = F.col("control_family_code")
+    counted = features.where(family != "").groupBy("control_family_code").count()
+    first = counted.orderBy(F.desc("count"), "control_family_code").limit(FAMILIES - 1)
+    return [r[0] for r in first.collect()] or [""]
+
+
 def train(
     features: DataFrame,
     *,
@@ -123,6 +148,7 @@ def train(
     trees: int = TREES,
     depth: int = DEPTH,
     seed: int = SEED,
+    max_rows: int = TRAINING_ROWS,
 ) -> PipelineModel:
     """Fit the forest. Pass ``inputs`` without ``historical_compliance`` and
     ``days_to_remediation`` to leave out the columns that leak the label.
@@ -131,16 +157,20 @@ def train(
     session and the training frame; a copy carries only the trees, which is
     all that tasks need when the model is shipped to them.
     """
-    families = StringIndexer(
-        inputCol="control_family_code", outputCol="family_index", handleInvalid="keep"
-    ).fit(features)
+    features = bounded_sample(features, max_rows)
+    families = StringIndexerModel.from_labels(
+        family_labels(features),
+        inputCol="control_family_code",
+        outputCol="family_index",
+        handleInvalid="keep",
+    )
     forest = RandomForestClassifier(
         labelCol=LABEL,
         featuresCol="features",
         numTrees=trees,
         maxDepth=depth,
         seed=seed,
-        maxBins=max(BINS, len(families.labels) + 1),
+        maxBins=BINS,
     )
     assembler = VectorAssembler(inputCols=list(inputs), outputCol="features")
     return Pipeline(stages=[families, assembler, forest]).fit(features).copy()
@@ -152,6 +182,36 @@ def area_under_roc(model: PipelineModel, test: DataFrame) -> float:
     )
 
 
+def area_by_ranks(scored: DataFrame) -> DataFrame:
+    """One row with ``area_under_roc``: the share of (at risk, not at risk)
+    pairs that the score puts in order, a tie counting one half.
+
+    Rows of equal score are counted together first. Running totals are taken
+    within bands of the score and over the bands, so no task sees all scores."""
+    by_score = (
+        scored.groupBy("risk_score")
+        .agg(
+            F.count_if(F.col(LABEL) == 1).alias("pos"),
+            F.count_if(F.col(LABEL) == 0).alias("neg"),
+        )
+        .withColumn("band", F.floor(F.col("risk_score") * SCORE_BANDS))
+    )
+    before = Window.orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
+    bands = by_score.groupBy("band").agg(F.sum("neg").alias("neg")).select(
+        "band", F.coalesce(F.sum("neg").over(before), F.lit(0)).alias("lower")
+    )
+    below = (
+        Window.partitionBy("band").orderBy("risk_score").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    ranked = by_score.join(bands, "band").withColumn(
+        "neg_below", F.col("lower") + F.coalesce(F.sum("neg").over(below), F.lit(0))
+    )
+    won = F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2))
+    return ranked.agg(
+        F.try_divide(won, F.sum("pos") * F.sum("neg").cast("double")).alias("area_under_roc")
+    )
+
+
 def score(model: PipelineModel, features: DataFrame, as_of: dt.date) -> DataFrame:
     """Risk of every assessment, training rows included."""
     probability = vector_to_array("probability")[1]

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -402,36 +403,100 @@ def risk_split(spark: SparkSession, folder: str) -> DataFrame:
     return risk.with_split(rows)
 
 
-def _predictions(e: Entities) -> DataFrame:
-    features = materialise(_features(e), "risk-features")
-    train_rows, _ = risk.train_test(features)
-    return risk.score(risk.train(train_rows), features, AS_OF)
+# Places of features, fitted model and predictions by application and tables:
+# the forest is trained once and every model query reads what is stored.
+_risk_stores: dict[tuple[str, str], dict[str, str]] = {}
+
+
+def _risk_store(e: Entities) -> dict[str, DataFrame | PipelineModel]:
+    spark, key = e.spark, (e.spark.sparkContext.applicationId, e.sf_dir)
+    if key not in _risk_stores:
+        root = new_scratch_dir(spark, "risk")
+        places = {name: f"{root}/{name}" for name in ("features", "model", "predictions")}
+        _features(e).write.parquet(places["features"])
+        features = spark.read.parquet(places["features"])
+        train_rows, _ = risk.train_test(features)
+        risk.train(train_rows).write().save(places["model"])
+        model = PipelineModel.load(places["model"])
+        risk.score(model, features, AS_OF).write.parquet(places["predictions"])
+        _risk_stores[key] = places
+    places = _risk_stores[key]
+    return {
+        "features": spark.read.parquet(places["features"]),
+        "model": PipelineModel.load(places["model"]),
+        "predictions": spark.read.parquet(places["predictions"]),
+    }
+
+
+# What a forest predicts has no SQL form. These queries return the predictions'
+# keys with checks that hold for any forest, so that SQL can state all of it.
 
 
 @query
 def risk_score(spark: SparkSession, folder: str) -> DataFrame:
-    return _predictions(Entities(spark, folder))
+    score = F.col("risk_score")
+    level = (
+        F.when(score >= 0.7, "High").when(score >= 0.4, "Medium").otherwise("Low")
+    )
+    return _risk_store(Entities(spark, folder))["predictions"].select(
+        *risk.KEY_COLUMNS,
+        "prediction_date",
+        score.between(0, 1).alias("score_in_range"),
+        (F.col("risk_level") == level).alias("level_follows_score"),
+        (F.col("predicted_at_risk") == (score > 0.5).cast("double")).alias(
+            "prediction_follows_score"
+        ),
+    )
 
 
 @query
 def risk_auc(spark: SparkSession, folder: str) -> DataFrame:
-    features = materialise(_features(Entities(spark, folder)), "risk-features")
-    train_rows, test_rows = risk.train_test(features)
-    auc = risk.area_under_roc(risk.train(train_rows), test_rows)
-    return test_rows.agg(F.count(F.lit(1)).alias("test_rows")).withColumn(
-        "area_under_roc", F.lit(auc)
+    store = _risk_store(Entities(spark, folder))
+    _, test_rows = risk.train_test(store["features"])
+    auc = risk.area_under_roc(store["model"], test_rows)
+    scored = store["predictions"].join(test_rows.select("assessment_id", risk.LABEL), "assessment_id")
+    ranks = risk.area_by_ranks(scored).scalar()
+    return test_rows.agg(F.count(F.lit(1)).alias("test_rows")).select(
+        "test_rows",
+        F.lit(0.5 < auc <= 1.0).alias("better_than_chance"),
+        (F.abs(ranks - F.lit(auc)) < 1e-6).alias("equals_area_by_ranks"),
     )
 
 
 @query
 def report_risk_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.risk_summary(_predictions(Entities(spark, folder)))
+    """One row: the report's counts add up and each average lies in its level."""
+    report = reports.risk_summary(_risk_store(Entities(spark, folder))["predictions"])
+    pct = F.col("avg_risk_pct")
+    fits = (
+        F.when(F.col("risk_level") == "High", pct >= 70)
+        .when(F.col("risk_level") == "Medium", pct.between(40, 70))
+        .otherwise((F.col("risk_level") == "Low") & (pct <= 40))
+    )
+    return report.agg(
+        F.sum("control_count").alias("control_count"),
+        (F.count(F.lit(1)) == F.count_distinct("risk_level")).alias("levels_are_distinct"),
+        F.every(fits).alias("averages_fit_levels"),
+    )
 
 
 @query
 def report_high_risk(spark: SparkSession, folder: str) -> DataFrame:
+    """One row: the report lists the riskiest High predictions of known systems."""
     e = Entities(spark, folder)
-    return reports.high_risk_controls(_predictions(e), e.systems)
+    predictions = _risk_store(e)["predictions"]
+    report = materialise(reports.high_risk_controls(predictions, e.systems), "high-risk")
+    high = predictions.where("risk_level = 'High'").join(
+        e.systems.select("system_id"), "system_id", "left_semi"
+    )
+    number = high.agg(F.count(F.lit(1))).scalar()
+    top = high.orderBy(F.desc("risk_score")).limit(reports.HIGH_RISK_ROWS)
+    least = top.agg(F.min(F.round(F.col("risk_score") * 100, 1))).scalar()
+    return report.agg(
+        (F.count(F.lit(1)) == F.least(number, F.lit(reports.HIGH_RISK_ROWS))).alias("full_list"),
+        F.coalesce(F.every(F.col("risk_level") == "High"), F.lit(True)).alias("only_high"),
+        F.coalesce(F.abs(F.min("risk_pct") - least) < 0.11, F.lit(True)).alias("riskiest_first"),
+    )
 
 
 # --- data profiles ----------------------------------------------------------
