@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from veritrail.plans import incremental, landing, medallion
 from veritrail.plans.entities import AS_OF, BRONZE, Entities
@@ -85,18 +86,67 @@ def streamed(spark, tmp_path_factory):
             land(landing.deliveries(e.bronze(name), key)[i], paths[name])
         arrived.append(incremental.advance(spark, paths, str(root)))
     idle = incremental.advance(spark, paths, str(root))
-    return incremental.gold_tables(spark, paths, str(root), AS_OF), arrived, idle
+    layers = medallion.Layers("i_bronze", "i_silver", "i_gold", location=str(root / "lake"))
+    return layers, arrived, idle, incremental.publish(spark, paths, str(root), AS_OF, layers)
 
 
 def test_incremental_run_reads_each_row_once(spark, streamed):
-    _, arrived, idle = streamed
+    _, arrived, idle, _ = streamed
     e = Entities(spark, SMALL)
     assert idle == dict.fromkeys(IDS, 0)
     for name in IDS:
         assert sum(run[name] for run in arrived) == e.bronze(name).count()
 
 
-@pytest.mark.parametrize("table", [t for t in GOLD if t != "compliance_alerts"])
-def test_incremental_run_builds_gold(spark, streamed, table):
-    key = "gold_evidence_gap_matrix" if table == "evidence_gap_analysis" else GOLD[table]
-    _same(streamed[0][table], QUERIES[key](spark, SMALL))
+STORED = {
+    **{t: key for t, key in GOLD.items() if t != "compliance_alerts"},
+    "evidence_gap_analysis": "gold_evidence_gap_matrix",
+    "missing_evidence_by_system": "gold_missing_by_system",
+    "missing_evidence_by_control": "gold_missing_by_control",
+}
+
+
+@pytest.mark.parametrize("table", STORED)
+def test_incremental_run_stores_gold(spark, streamed, table):
+    name = f"{streamed[0].gold}.{table}"
+    _same(spark.table(name), QUERIES[STORED[table]](spark, SMALL))
+    detail = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+    assert detail["Comment"] == medallion.COMMENTS[table]
+    assert "quality=gold" in detail["Table Properties"]
+
+
+def test_incremental_run_stores_catalogues_alerts_and_risk(spark, streamed):
+    layers, *_, seen = streamed
+    assert seen["silver.controls"]["failed_valid_control_id"] == 0
+    assert seen["alerts.compliance_alerts"]["rows"] > 0
+    predictions = spark.table(f"{layers.gold}.control_risk_predictions")
+    assert predictions.count() == Entities(spark, SMALL).assessments.count()
+
+
+def test_ids_and_flags_mean_the_same_in_both_runs(spark, tmp_path):
+    """Ids with leading zeros and flags in any case, as files may bring them."""
+    root = str(tmp_path)
+    e = Entities(spark, SMALL)
+    pad = F.concat(F.lit("00"), F.col("system_id"))
+    paths = {}
+    for name in BRONZE:
+        df = e.bronze(name)
+        if "system_id" in df.columns:
+            df = df.withColumn("system_id", pad)
+        if name == "controls":
+            df = df.withColumn("baseline_moderate", F.initcap("baseline_moderate"))
+        land = landing.land_json if name == "evidence" else landing.land_csv
+        paths[name] = land(df, f"{root}/landing/{name}")
+    batch = medallion.Layers("z_bronze", "z_silver", "z_gold", location=f"{root}/batch")
+    batch.create(spark)
+    medallion.load_bronze(spark, paths, batch)
+    medallion.build_silver(spark, batch, AS_OF)
+    medallion.build_gold(spark, batch, AS_OF, expected=True)
+    stream = medallion.Layers("y_bronze", "y_silver", "y_gold", location=f"{root}/stream")
+    incremental.advance(spark, paths, f"{root}/store")
+    incremental.publish(spark, paths, f"{root}/store", AS_OF, stream)
+    want = QUERIES["gold_system_scorecard"](spark, SMALL).withColumn("system_id", pad)
+    gaps = QUERIES["gold_evidence_gap_matrix"](spark, SMALL).withColumn("system_id", pad)
+    for layers in (batch, stream):
+        _same(spark.table(f"{layers.gold}.system_compliance_scorecard"), want)
+        _same(spark.table(f"{layers.gold}.evidence_gap_analysis"), gaps)

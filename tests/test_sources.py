@@ -78,6 +78,17 @@ def test_write_table_overwrites_and_reports(spark, people, tmp_path):
     assert properties["quality"] == "silver" and properties["it's"] == "quoted"
 
 
+def test_a_write_that_dies_leaves_the_old_table(spark, people, tmp_path):
+    name = "sink_survivor"
+    sinks.write_table(people, name, path=str(tmp_path / "t"))
+    broken = people.withColumn("note", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_table(broken, name, path=str(tmp_path / "t"))
+    assert sorted(readers.read_table(spark, name).collect()) == sorted(people.collect())
+    sinks.write_table(people.select("n"), name, path=str(tmp_path / "t"))
+    assert readers.read_table(spark, name).columns == ["n"]
+
+
 def test_layer_counts(spark, people):
     got = sinks.layer_counts({"people": people, "nobody": people.limit(0)})
     assert {r["table_name"]: r["row_count"] for r in rows(got)} == {"people": 2, "nobody": 0}

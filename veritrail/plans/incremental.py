@@ -1,8 +1,8 @@
 """Incremental run: landed files -> streamed bronze -> streamed silver -> gold.
 
 Operational entities flow through file streams that process only what is new;
-the small framework catalogues are read as a whole. Gold is recomputed from a
-snapshot of silver after the streams have drained.
+the small framework catalogues are read as a whole. Once the streams have
+drained, a snapshot of silver and everything built on it is stored as tables.
 """
 
 from __future__ import annotations
@@ -12,11 +12,12 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritrail.operators import gold, rollups
 from veritrail.operators import silver as s
+from veritrail.plans import medallion
 from veritrail.sources import schemas
 from veritrail.sources.audit import with_audit
 from veritrail.sources.readers import read_csv
+from veritrail.sources.sinks import write_table
 from veritrail.streaming import ingest, refine
 
 STREAMED = ("systems", "assessments", "evidence")
@@ -51,33 +52,34 @@ def catalogues(spark: SparkSession, landing: Mapping[str, str]) -> dict[str, Dat
     return {name: clean[name](df) if name in clean else df for name, df in raw.items()}
 
 
-def gold_tables(
-    spark: SparkSession, landing: Mapping[str, str], store: str, as_of: dt.date
-) -> dict[str, DataFrame]:
-    """Gold over the current snapshot. The gap table covers the whole expected
-    matrix here, including pairs that have no evidence at all."""
-    systems, assessments, evidence = (
-        refine.silver_table(spark, store, entity, as_of) for entity in STREAMED
+def publish(
+    spark: SparkSession,
+    landing: Mapping[str, str],
+    store: str,
+    as_of: dt.date,
+    layers: medallion.Layers,
+) -> dict[str, dict]:
+    """Store the current snapshot as tables: cleaned entities and catalogues
+    with their expectations, the business tables, alerts and risk on top.
+    Returns what each write observed, keyed ``layer.table``.
+
+    The gap table holds the expected pairs that have evidence; the missing ones
+    are counted per system and per control.
+    """
+    layers.create(spark)
+    frames = catalogues(spark, landing)
+    mapping = write_table(
+        frames.pop("control_mapping"),
+        f"{layers.bronze}.control_mapping",
+        comment=medallion.COMMENTS["control_mapping"],
+        properties={"quality": "bronze"},
     )
-    framework = catalogues(spark, landing)
-    pairs = rollups.evidence_rollup(rollups.evidence_pairs(evidence))
-    return {
-        "control_compliance_summary": gold.compliance_summary(assessments, as_of),
-        "system_compliance_scorecard": gold.system_scorecard(
-            systems,
-            rollups.system_assessment_rollup(assessments),
-            rollups.system_evidence_rollup(evidence),
-            as_of,
-        ),
-        "cross_framework_mapping": gold.cross_framework(
-            framework["controls"],
-            framework["control_mapping"],
-            framework["criteria"],
-            rollups.control_rollup(assessments),
-            as_of,
-        ),
-        "evidence_gap_analysis": gold.evidence_gap_matrix(
-            framework["controls"], systems, pairs, as_of
-        ),
-        "audit_readiness_metrics": gold.audit_readiness(assessments, evidence, systems, as_of),
-    }
+    frames |= {entity: refine.silver_table(spark, store, entity, as_of) for entity in STREAMED}
+    steps = (
+        ("bronze", {"control_mapping": mapping}),
+        ("silver", medallion.store_silver(frames, layers)),
+        ("gold", medallion.build_gold(spark, layers, as_of, expected=True)),
+        ("alerts", medallion.build_alerts(spark, layers, as_of)),
+        ("risk", medallion.build_risk(spark, layers, as_of)),
+    )
+    return {f"{step}.{table}": seen for step, tables in steps for table, seen in tables.items()}

@@ -44,6 +44,8 @@ COMMENTS = {
     "system_compliance_scorecard": "Compliance posture by system",
     "cross_framework_mapping": "Controls with mapped criteria and compliance",
     "evidence_gap_analysis": "Missing and expiring evidence",
+    "missing_evidence_by_system": "Expected evidence that each system lacks",
+    "missing_evidence_by_control": "Expected evidence that each control lacks",
     "audit_readiness_metrics": "Audit readiness in one row",
     "compliance_rules": "Compliance rules and their SQL checks",
     "compliance_alerts": "Findings of the active rules",
@@ -87,8 +89,22 @@ def load_bronze(
     }
 
 
+def store_silver(frames: Mapping[str, DataFrame], layers: Layers) -> dict[str, dict]:
+    """Store cleaned entities; expectation failures are observed on the write."""
+    return {
+        name: write_table(
+            df,
+            f"{layers.silver}.{name}",
+            comment=COMMENTS[name],
+            properties={"quality": "silver"},
+            metrics=quality.write_metrics(name),
+        )
+        for name, df in frames.items()
+    }
+
+
 def build_silver(spark: SparkSession, layers: Layers, as_of: dt.date) -> dict[str, dict]:
-    """Clean every bronze table; expectation failures are observed on the write."""
+    """Clean every bronze table."""
 
     def bronze(name: str) -> DataFrame:
         return read_table(spark, f"{layers.bronze}.{name}")
@@ -100,16 +116,7 @@ def build_silver(spark: SparkSession, layers: Layers, as_of: dt.date) -> dict[st
         "assessments": s.silver_assessments(bronze("assessments"), as_of),
         "evidence": s.silver_evidence(bronze("evidence"), as_of),
     }
-    return {
-        name: write_table(
-            df,
-            f"{layers.silver}.{name}",
-            comment=COMMENTS[name],
-            properties={"quality": "silver"},
-            metrics=quality.write_metrics(name),
-        )
-        for name, df in frames.items()
-    }
+    return store_silver(frames, layers)
 
 
 def _write_gold(df: DataFrame, layers: Layers, name: str) -> dict[str, object]:
@@ -121,9 +128,15 @@ def _write_gold(df: DataFrame, layers: Layers, name: str) -> dict[str, object]:
     )
 
 
-def build_gold(spark: SparkSession, layers: Layers, as_of: dt.date) -> dict[str, dict]:
+def build_gold(
+    spark: SparkSession, layers: Layers, as_of: dt.date, *, expected: bool = False
+) -> dict[str, dict]:
     """The business tables. The (control, system) evidence rollup is stored
-    first: gaps, scorecard and risk features all start from it."""
+    first: gaps, scorecard and risk features all start from it.
+
+    The gap table covers the pairs that have evidence; with ``expected`` those
+    of them that are expected, and two more tables count what is missing.
+    """
     controls, criteria, systems, assessments, evidence = (
         read_table(spark, f"{layers.silver}.{name}")
         for name in ("controls", "criteria", "systems", "assessments", "evidence")
@@ -152,10 +165,14 @@ def build_gold(spark: SparkSession, layers: Layers, as_of: dt.date) -> dict[str,
             controls, mapping, criteria, rollups.control_rollup(assessments), as_of
         ),
     )
-    store(
-        "evidence_gap_analysis",
-        gold.evidence_gap_observed(rollups.evidence_rollup(pairs), as_of),
-    )
+    rollup = rollups.evidence_rollup(pairs)
+    if expected:
+        gaps = gold.evidence_gap_matrix(controls, systems, rollup, as_of)
+        store("missing_evidence_by_system", gold.missing_by_system(controls, systems, rollup))
+        store("missing_evidence_by_control", gold.missing_by_control(controls, systems, rollup))
+    else:
+        gaps = gold.evidence_gap_observed(rollup, as_of)
+    store("evidence_gap_analysis", gaps)
     store("audit_readiness_metrics", gold.audit_readiness(assessments, evidence, systems, as_of))
     return written
 

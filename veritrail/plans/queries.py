@@ -22,7 +22,7 @@ from veritrail.operators import (
     rules,
 )
 from veritrail.operators import silver as s
-from veritrail.plans import incremental, landing
+from veritrail.plans import incremental, landing, medallion
 from veritrail.plans.entities import AS_OF, BRONZE, Entities
 from veritrail.sources import schemas
 from veritrail.sources.audit import with_audit
@@ -132,7 +132,41 @@ def sink_overwrite_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     card = _scorecard(Entities(spark, folder))
     write_table(card.select("system_id"), name, path=path)
     write_table(card, name, path=path, comment="System scorecard", properties={"quality": "gold"})
-    return read_table(spark, name)
+    return _then_dropped(spark, name, read_table(spark, name))
+
+
+def _then_dropped(spark: SparkSession, name: str, result: DataFrame) -> DataFrame:
+    """``result`` as stored; the table leaves the catalogue, its folder stays."""
+    stored = materialise(result, "table-read")
+    spark.sql(f"DROP TABLE {name}")
+    return stored
+
+
+@query
+def table_description(spark: SparkSession, folder: str) -> DataFrame:
+    """Comment, properties and rows of a table, as the catalogue has them."""
+    path = new_scratch_dir(spark, "described-table")
+    name = f"veritrail_{path.rsplit('-', 1)[1]}"
+    properties = {"quality": "silver", "origin": "system inventory"}
+    write_table(
+        Entities(spark, folder).systems, name, path=path, comment="Systems", properties=properties
+    )
+    kept = spark.sql(f"SHOW TBLPROPERTIES {name}").where(F.col("key").isin(*properties))
+    detail = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Comment'")
+    told = kept.select("key", "value").union(
+        detail.select(F.lit("comment").alias("key"), F.col("data_type").alias("value"))
+    )
+    rows = read_table(spark, name).agg(F.count(F.lit(1))).scalar()
+    return _then_dropped(spark, name, told.withColumn("table_rows", rows))
+
+
+@query
+def dq_violations(spark: SparkSession, folder: str) -> DataFrame:
+    """The evidence rows that are not accepted, as rows behind a violation."""
+    evidence = Entities(spark, folder).evidence
+    return quality.violating_rows(evidence, "status = 'Accepted'").select(
+        "evidence_id", "control_id", "status"
+    )
 
 
 @query
@@ -598,9 +632,20 @@ def stream_silver_evidence(spark: SparkSession, folder: str) -> DataFrame:
     return _streamed_silver(spark, folder, "evidence", "evidence_id")
 
 
-@query
-def stream_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
-    """Files land twice, flow through bronze and silver, then gold is built."""
+# Places of the tables of an incremental run, by application and tables.
+_published: dict[tuple[str, str], dict[str, str]] = {}
+
+
+def _published_table(spark: SparkSession, folder: str, layer: str, table: str) -> DataFrame:
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _published:
+        _published[key] = _run_incremental(spark, folder)
+    return spark.read.parquet(_published[key][f"{layer}.{table}"])
+
+
+def _run_incremental(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Files land twice, flow through bronze and silver, and everything built on
+    them is stored. Returns the tables' folders; the catalogue entries go."""
     root = new_scratch_dir(spark, "stream-all")
     e = Entities(spark, folder)
     paths = {name: f"{root}/landing/{name}" for name in BRONZE}
@@ -613,4 +658,40 @@ def stream_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
             land = landing.land_json if name == "evidence" else landing.land_csv
             land(parts[name][i], paths[name])
         incremental.advance(spark, paths, root)
-    return incremental.gold_tables(spark, paths, root, AS_OF)["system_compliance_scorecard"]
+    run = root.rsplit("-", 1)[1]
+    databases = {layer: f"veritrail_{layer}_{run}" for layer in ("bronze", "silver", "gold")}
+    layers = medallion.Layers(**databases, location=f"{root}/lake")
+    incremental.publish(spark, paths, root, AS_OF, layers)
+    places = {}
+    for layer, database in databases.items():
+        for table in spark.catalog.listTables(database):
+            detail = spark.sql(f"DESCRIBE EXTENDED {database}.{table.name}").collect()
+            places[f"{layer}.{table.name}"] = next(r[1] for r in detail if r[0] == "Location")
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+    return places
+
+
+@query
+def stream_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
+    return _published_table(spark, folder, "gold", "system_compliance_scorecard")
+
+
+def _stored_gold(table: str) -> Query:
+    return lambda spark, folder: _published_table(spark, folder, "gold", table)
+
+
+for _name in (
+    "control_compliance_summary",
+    "cross_framework_mapping",
+    "evidence_gap_analysis",
+    "missing_evidence_by_system",
+    "missing_evidence_by_control",
+    "audit_readiness_metrics",
+):
+    QUERIES[f"stream_{_name}"] = _stored_gold(_name)
+
+
+@query
+def stream_silver_controls(spark: SparkSession, folder: str) -> DataFrame:
+    stored = _published_table(spark, folder, "silver", "controls")
+    return ingest.without_audit(stored)
