@@ -71,6 +71,7 @@ def publish(
     mapping = write_table(
         frames.pop("control_mapping"),
         f"{layers.bronze}.control_mapping",
+        path=layers.path(layers.bronze, "control_mapping"),
         comment=medallion.COMMENTS["control_mapping"],
         properties={"quality": "bronze"},
     )

@@ -55,7 +55,8 @@ COMMENTS = {
 
 @dataclass(frozen=True)
 class Layers:
-    """Database names of the layers; ``location`` is an optional shared folder."""
+    """Database names of the layers; ``location`` is an optional shared folder.
+    There the tables lie beside the databases, so they outlive these."""
 
     bronze: str = "veritrail_bronze"
     silver: str = "veritrail_silver"
@@ -67,6 +68,9 @@ class Layers:
             place = f" LOCATION '{self.location}/{name}'" if self.location else ""
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{place}")
 
+    def path(self, database: str, table: str) -> str | None:
+        return f"{self.location}/tables/{database}/{table}" if self.location else None
+
 
 def load_bronze(
     spark: SparkSession, landing: Mapping[str, str], layers: Layers
@@ -82,6 +86,7 @@ def load_bronze(
         name: write_table(
             with_audit(df, source=SOURCE_TAGS.get(name)),
             f"{layers.bronze}.{name}",
+            path=layers.path(layers.bronze, name),
             comment=COMMENTS[name],
             properties={"quality": "bronze", **BRONZE_PROPERTIES[name]},
         )
@@ -95,6 +100,7 @@ def store_silver(frames: Mapping[str, DataFrame], layers: Layers) -> dict[str, d
         name: write_table(
             df,
             f"{layers.silver}.{name}",
+            path=layers.path(layers.silver, name),
             comment=COMMENTS[name],
             properties={"quality": "silver"},
             metrics=quality.write_metrics(name),
@@ -123,6 +129,7 @@ def _write_gold(df: DataFrame, layers: Layers, name: str) -> dict[str, object]:
     return write_table(
         df,
         f"{layers.gold}.{name}",
+        path=layers.path(layers.gold, name),
         comment=COMMENTS[name],
         properties={"quality": "gold"},
     )
@@ -185,6 +192,7 @@ def build_alerts(
     stored = write_table(
         (book or rules.standard_rules()).to_frame(spark),
         table,
+        path=layers.path(layers.silver, "compliance_rules"),
         comment=COMMENTS["compliance_rules"],
     )
     active = rules.RuleBook.from_frame(read_table(spark, table))
