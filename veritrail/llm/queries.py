@@ -19,6 +19,7 @@ from veritrail.llm import (
     url_filter,
 )
 from veritrail.llm.common import table
+from veritrail.llm.oracles import STATEMENTS  # noqa: F401
 
 #: Fixed values of the url rules: action, host, path.
 URL_RULES = (
@@ -139,4 +140,3 @@ QUERIES = {
     "op9_personal_data": personal_data,
     "op10_chat_formatting": chat_formatting,
 }
-STATEMENTS: dict[str, str] = {}
