@@ -17,9 +17,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of an Arrow batch. Batches of whole texts live in memory outside the
+#: heap, which tasks do not give back; Spark's default of 10,000 rows of some
+#: kB each costs an executor hundreds of MB.
+BATCH_ROWS = 1_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def importable(df: DataFrame) -> DataFrame:
     """``df``, whose Python workers find this package where the driver does,
-    also if the session was started from another folder."""
+    also if the session was started from another folder, and get batches of
+    BATCH_ROWS rows unless the session asks for fewer."""
+    settings = df.sparkSession.conf
+    if int(settings.get(_BATCH_SETTING)) > BATCH_ROWS:
+        settings.set(_BATCH_SETTING, str(BATCH_ROWS))
     root = str(Path(__file__).resolve().parents[2])
     known = df.sparkSession.sparkContext.environment
     paths = [p for p in known.get("PYTHONPATH", "").split(os.pathsep) if p]
