@@ -238,7 +238,7 @@ def test_offsets_cover_split_characters():
 def test_encode_and_decode_frames(spark):
     texts = [None, "", "a b", "a b", "word " * 30_000, *noise(50)]
     ids = byte_bpe.encode(frame(spark, texts), RANKS, public_tokenizers.PATTERN, offsets=True)
-    back = byte_bpe.decode(ids, RANKS, public_tokenizers.PATTERN)
+    back = byte_bpe.decode(ids, RANKS)
     got = {r.doc_id: r for r in back.collect()}
     assert len(got) == len(texts) and got[0].ids == [] and got[0].score == "x"
     assert len(got[4].ids) == len(got[4].starts) == len(got[4].ends)

@@ -66,22 +66,28 @@ def build_tokenizer(ranks: dict[bytes, int], pattern: str):
 
 def _worker(path: str, pattern: str) -> tuple[WordEncoder, list[bytes]]:
     if (path, pattern) not in _workers:
-        ranks = read_ranks(path)
-        tokens = [b""] * (max(ranks.values()) + 1)
-        for token, n in ranks.items():
-            tokens[n] = token
-        _workers[path, pattern] = WordEncoder(build_tokenizer(ranks, pattern), False), tokens
+        words = WordEncoder(build_tokenizer(read_ranks(path), pattern), True)
+        _workers[path, pattern] = words, token_bytes(path)
     return _workers[path, pattern]
 
 
+def token_bytes(path: str) -> list[bytes]:
+    """The bytes of every id; ids that the file leaves free have none."""
+    ranks = read_ranks(path)
+    tokens = [b""] * (max(ranks.values()) + 1)
+    for token, n in ranks.items():
+        tokens[n] = token
+    return tokens
+
+
 def words_of(text: str) -> list[str]:
-    """The text cut before single spaces; joined, the words are the text."""
-    parts = _CUT.split(text) if _WIDE.search(text) else text.split(" ")
-    return [parts[0], *(" " + p for p in parts[1:])]
+    """The text cut at single spaces; joined by them, the words are the text."""
+    return _CUT.split(text) if _WIDE.search(text) else text.split(" ")
 
 
 def encode_text(text: str, words: WordEncoder) -> np.ndarray:
-    return np.frombuffer(words.encode(words_of(text)), "<u4")
+    first, *rest = words_of(text)
+    return np.frombuffer(words.start(first) + words.encode(rest), "<u4")
 
 
 def offsets_of(text: str, ids: np.ndarray, token_bytes: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -134,17 +140,19 @@ def encode(
     return importable(frame).mapInArrow(run, schema)
 
 
-def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFrame:
+def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """``df`` with ``decoded``, the bytes that its ids stand for. Null ids give
     null; an id outside the vocabulary is an error."""
     frame = df.drop("decoded")
     schema = frame.withColumn("decoded", F.lit(None).cast("binary")).schema
 
     def run(batches):
-        _, tokens = _worker(path, pattern)
+        tokens = token_bytes(path)
         for batch in batches:
             done = [
-                b"".join(map(tokens.__getitem__, v.values.to_pylist())) if v.is_valid else None
+                b"".join(map(tokens.__getitem__, v.values.to_numpy().tolist()))
+                if v.is_valid
+                else None
                 for v in batch.column(ids)
             ]
             yield pa.RecordBatch.from_arrays(

@@ -46,7 +46,7 @@ def _worker(path: str) -> WordEncoder:
         tokenizer = Tokenizer.from_file(path)
         # Strings of special tokens in a text are ordinary text.
         tokenizer.encode_special_tokens = True
-        _workers[path] = WordEncoder(tokenizer, True)
+        _workers[path] = WordEncoder(tokenizer, False)
     return _workers[path]
 
 

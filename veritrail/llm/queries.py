@@ -69,7 +69,7 @@ def byte_bpe_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     ids = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN, keep=["doc_id"])
-    decoded = byte_bpe.decode(ids, ranks, public_tokenizers.PATTERN)
+    decoded = byte_bpe.decode(ids, ranks)
     return decoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

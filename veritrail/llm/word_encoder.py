@@ -13,9 +13,9 @@ import re
 from array import array
 
 #: Words that a worker keeps, and as many from before that it still knows.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 
-_LATIN = re.compile("( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
+_LATIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
 
 
 def byte_chars() -> dict[int, str]:
@@ -42,14 +42,20 @@ def single_threaded() -> None:
 
 
 class WordEncoder:
-    """Ids of words as little-endian unsigned 32-bit integers."""
+    """Ids of words as little-endian unsigned 32-bit integers.
 
-    def __init__(self, tokenizer, lower: bool):
+    With ``spaced``, words are those after a single space, which belongs to the
+    word's first match; ``start`` encodes a text's first word. Without, white
+    space belongs to no match and case does not matter.
+    """
+
+    def __init__(self, tokenizer, spaced: bool):
         self.tokenizer = tokenizer
         self.model = tokenizer.model
-        self.lower = lower
+        self.spaced = spaced
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
+        self.starts: dict[str, bytes] = {}
         self.marks = {m: self.whole(m) for m in ".,;:!?"}
 
     def encode(self, words: list[str]) -> bytes:
@@ -63,6 +69,15 @@ class WordEncoder:
             found = [known[w] if ids is None else ids for w, ids in zip(words, found)]
         return b"".join(found)
 
+    def start(self, text: str) -> bytes:
+        """Ids of words that no space precedes."""
+        ids = self.starts.get(text)
+        if ids is None:
+            if len(self.starts) >= CACHED_WORDS // 4:
+                self.starts.clear()
+            ids = self.starts[text] = self.whole(text)
+        return ids
+
     def _learn(self, missing: set[str]) -> None:
         """The common case, ASCII letters with or without a closing mark, in
         one loop; all other words one by one."""
@@ -71,22 +86,16 @@ class WordEncoder:
             ids = before.get(word)
             if ids is None:
                 mark = marks.get(word[-1:], b"")
-                core = word[:-1] if mark else word
-                spaced = core[:1] == " "
-                letters = core[1:] if spaced else core
+                letters = word[:-1] if mark else word
                 if not (letters.isascii() and letters.isalpha()):
                     ids = self._other(word)
                 else:
-                    ids = (known.get(core) or before.get(core)) if mark else None
+                    ids = (known.get(letters) or before.get(letters)) if mark else None
                     if ids is None:
-                        plain = letters
-                        if self.lower:
-                            plain = letters.lower()
-                        elif spaced:
-                            plain = _SPACE + letters
+                        plain = _SPACE + letters if self.spaced else letters.lower()
                         ids = array("I", [t.id for t in tokenize(plain)]).tobytes()
                         if mark:
-                            known[core] = ids
+                            known[letters] = ids
                     ids += mark
             known[word] = ids
 
@@ -94,26 +103,23 @@ class WordEncoder:
         m = _LATIN.fullmatch(word)
         if not m:
             return self._broken(word)
-        space, letters, mark = m.groups()
-        text = byte_level(letters.lower() if self.lower else letters)
-        if space and not self.lower:
-            text = _SPACE + text
+        letters, mark = m.groups()
+        text = _SPACE + byte_level(letters) if self.spaced else byte_level(letters.lower())
         ids = array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
         return ids + self.marks[mark] if mark else ids
 
     def _broken(self, word: str) -> bytes:
         """Ids of a word that is not plain; a lone line feed between two
         non-spaces is a match of its own."""
-        if not self.lower and word.count("\n") == 1:
+        if not self.spaced:
+            return self.whole(word)
+        if word.count("\n") == 1:
             left, _, right = word.partition("\n")
             if left and right and not left[-1].isspace() and not right[0].isspace():
-                return self.encode_one(left) + self.encode_one("\n") + self.encode_one(right)
-        return self.whole(word)
-
-    def encode_one(self, word: str) -> bytes:
-        if word not in self.known:
-            self._learn({word})
-        return self.known[word]
+                if left not in self.known:
+                    self._learn({left})
+                return self.known[left] + self.start("\n") + self.start(right)
+        return self.whole(" " + word)
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
