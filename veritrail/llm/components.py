@@ -20,13 +20,14 @@ def _large_star(edges: DataFrame) -> DataFrame:
         edges.select(F.col("small").alias("u"), F.col("big").alias("v"))
     )
     least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+    least = materialise(least, "least")
     moved = both.where("v > u").join(least, "u")
     return moved.select(F.col("v").alias("big"), F.col("m").alias("small")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours move to the smallest of them."""
-    least = edges.groupBy("big").agg(F.min("small").alias("m"))
+    least = materialise(edges.groupBy("big").agg(F.min("small").alias("m")), "least")
     moved = edges.join(least, "big")
     return (
         moved.where("small <> m")
@@ -41,8 +42,9 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
     smallest node it can reach.
 
     Alternates the two star steps until every component is one star. Minima
-    are combined before the shuffle and each step is a plain join, so a hub is
-    one partial row per task. Each round is written to shared storage, which
+    are combined before the shuffle and stored, so each join is one of two
+    tables straight from their shuffles and Spark can split a hub's rows. Each
+    round is written to shared storage, which
     cuts the lineage. Self loops and repeated edges are harmless; an edge with
     a null end is ignored.
     """
