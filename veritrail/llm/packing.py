@@ -33,6 +33,9 @@ CLOSING_ID = 1
 #: Pieces of one length that are ranked together in a task.
 RANKED_TOGETHER = 1_000
 
+#: Words that a worker keeps; here it has no second Python process beside it.
+CACHED_WORDS = 300_000
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 _workers: dict[str, WordEncoder] = {}
@@ -46,7 +49,7 @@ def _worker(path: str) -> WordEncoder:
         tokenizer = Tokenizer.from_file(path)
         # Strings of special tokens in a text are ordinary text.
         tokenizer.encode_special_tokens = True
-        _workers[path] = WordEncoder(tokenizer, False)
+        _workers[path] = WordEncoder(tokenizer, False, CACHED_WORDS)
     return _workers[path]
 
 

@@ -49,10 +49,11 @@ class WordEncoder:
     space belongs to no match and case does not matter.
     """
 
-    def __init__(self, tokenizer, spaced: bool):
+    def __init__(self, tokenizer, spaced: bool, cached: int = CACHED_WORDS):
         self.tokenizer = tokenizer
         self.model = tokenizer.model
         self.spaced = spaced
+        self.cached = cached
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
         self.starts: dict[str, bytes] = {}
@@ -60,7 +61,7 @@ class WordEncoder:
 
     def encode(self, words: list[str]) -> bytes:
         """Ids of the words in a row."""
-        if len(self.known) >= CACHED_WORDS:
+        if len(self.known) >= self.cached:
             self.before, self.known = self.known, {}
         known = self.known
         found = list(map(known.get, words))
@@ -73,7 +74,7 @@ class WordEncoder:
         """Ids of words that no space precedes."""
         ids = self.starts.get(text)
         if ids is None:
-            if len(self.starts) >= CACHED_WORDS // 4:
+            if len(self.starts) >= self.cached // 4:
                 self.starts.clear()
             ids = self.starts[text] = self.whole(text)
         return ids
