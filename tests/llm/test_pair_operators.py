@@ -327,3 +327,21 @@ def test_descent_goes_on_until_the_graph_is_right(spark, monkeypatch):
     np.fill_diagonal(sims, -2)
     best = np.argsort(-sims, axis=1)[:, :5]
     assert np.mean([j in near[i] for i in range(3000) for j in best[i]]) >= 0.975
+
+
+def test_neighbours_among_vectors_that_differ_by_little(spark):
+    random_ = np.random.default_rng(14)
+    base = random_.normal(size=64)
+    x = base / np.linalg.norm(base) + random_.normal(size=(1500, 64)) * 1e-4
+    rows = [(i, v, 0, "") for i, v in enumerate(x.tolist())]
+    frame = spark.createDataFrame(rows, VECTOR_SCHEMA)
+    got: dict = {}
+    for r in nn_descent.nearest(frame, every=30).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    unit = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.longdouble)
+    hits = 0
+    for q in range(0, 1500, 30):
+        far = ((unit - unit[q]) ** 2).sum(axis=1)
+        far[q] = 9
+        hits += len(got[q] & set(np.argsort(far)[:5].tolist()))
+    assert hits / 5 / 50 >= 0.9
