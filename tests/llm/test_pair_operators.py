@@ -345,3 +345,11 @@ def test_neighbours_among_vectors_that_differ_by_little(spark):
         far[q] = 9
         hits += len(got[q] & set(np.argsort(far)[:5].tolist()))
     assert hits / 5 / 50 >= 0.9
+
+
+@pytest.mark.parametrize("distinct", [4096, 4097, 8193])
+def test_intersections_count_the_last_shingle(distinct):
+    whole = np.arange(distinct, dtype=np.uint64)
+    sets = [whole, whole[-5:], whole[: distinct // 2]]
+    want = [[len(set(a.tolist()) & set(b.tolist())) for b in sets] for a in sets]
+    assert minhash.intersections(sets).tolist() == want

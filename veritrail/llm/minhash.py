@@ -234,7 +234,7 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
     row, column = row[order], column[order]
     total = np.zeros((n, n), np.float64)
     width = 4096
-    edges = np.searchsorted(column, np.arange(0, int(column[-1]) + width, width))
+    edges = np.searchsorted(column, np.arange(0, int(column[-1]) + 1 + width, width))
     for c, (s, e) in enumerate(zip(edges[:-1], edges[1:])):
         if s == e:
             continue
