@@ -257,6 +257,35 @@ def test_windows_give_every_conversation_back(spark):
     assert chat.read_back(chat.format_chats(frame.where("false"))).collect() == []
 
 
+def test_windows_stay_within_the_budget(spark):
+    rows = conversations()
+    sized = lambda conv, role, *sizes: [
+        (conv, 10 + 5000 * i, role, "w " * (n - chat.MARKS)) for i, n in enumerate(sizes)
+    ]
+    rows += sized(80, "assistant", 767, 700) + sized(81, "user", 700, 5000, 300, 1020, 10, 10)
+    rows += [(82, 0, "system", "s " * 900)] + sized(82, "assistant", *[90] * 9, 400)
+    rows += [(83, 0, "system", "s " * 3000)] + sized(83, "user", *[90] * 9)
+    rows += sized(84, "assistant", *[5] * 3000)
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    tokens = lambda text: len(re.findall(r"[^\W_]+|[^\w\s]|_", text)) + chat.MARKS
+    fresh: dict = {}
+    counts: dict = {}
+    for w in chat.format_chats(frame).collect():
+        turns = chat.parse_window(w.formatted)
+        own = [t for t in turns if not t[2]]
+        size = sum(tokens(t[1]) for t in turns)
+        assert size <= chat.BUDGET or len(turns) == 1, (w.conv_id, size)
+        assert own
+        fresh[w.conv_id] = fresh.get(w.conv_id, 0) + len(own)
+        counts[w.conv_id] = counts.get(w.conv_id, 0) + 1
+        if w.conv_id == 82 and w.window > 0 and len(own) == 1 and tokens(own[0][1]) == 90:
+            assert turns[0][0] == "system" and turns[0][2]
+    assert fresh == {c: sum(r[0] == c for r in rows) for c in {r[0] for r in rows}}
+    assert counts[80] == 2 and counts[81] >= 4
+    # 3,000 turns of 5 tokens: whole windows but for one border in 1,024 turns.
+    assert counts[84] <= 3000 * 5 // (chat.BUDGET - chat.HISTORY - 5) + 3
+
+
 def test_escaping_is_reversible():
     pick = random.Random(4)
     for _ in range(2000):

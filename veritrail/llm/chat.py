@@ -1,9 +1,13 @@
 """Chat formatting in budgeted windows.
 
-Prefix sums of turn tokens place every turn in one window of its conversation;
-windows hold whole turns. A window opens with the conversation's system turn
-and a limited history of the turns before it; both are repeats and carry no
-loss. Assistant turns carry loss in the one window they belong to.
+Every turn is in one window of its conversation; windows hold whole turns. A
+window opens with the conversation's system turn and a limited history of the
+turns before it; both are repeats and carry no loss. System turn, history and
+own turns together stay within the budget: turns are added while they leave
+room for the repeats, and the history is what the budget then has left. A
+window of one long turn has less history, or none, and no system turn where
+this does not fit. Windows start anew every CHUNK turns, so that a long
+conversation is spread. Assistant turns carry loss in the one window they belong to.
 
 Template of a turn::
 
@@ -16,8 +20,8 @@ reading back restores it exactly.
 
 Defined results: null text or role reads as empty; rows are ordered by turn
 (null first), then role, then text, so ties and repeated rows each count; rows
-of null conv_id are one conversation; a turn longer than a window has one of
-its own; an empty table gives an empty result; other columns are ignored.
+of null conv_id are one conversation; a turn longer than the budget has a
+window of its own, without repeats; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,8 +37,8 @@ from veritrail.sources.scratch import materialise
 
 BUDGET = 1024
 HISTORY = 256
-LEAST_SPAN = 256
-#: Turns between whose numbers the prefix sums are taken apart.
+#: Turns, by number, between which the prefix sums are taken apart, and turns
+#: after which windows start anew.
 CHUNK = 1024
 #: Tokens counted for a turn's marks.
 MARKS = 4
@@ -106,44 +110,49 @@ def placed_turns(turns: DataFrame, budget: int, history: int) -> DataFrame:
         .groupBy("conv_key")
         .agg(F.min_by(F.struct("idx", "role", "text", "tokens"), "idx").alias("sys"))
     )
-    rows = (
-        rows.join(systems, "conv_key", "left")
-        .withColumn(
-            "span",
-            F.greatest(
-                F.lit(budget - history) - F.coalesce(F.col("sys.tokens"), zero),
-                F.lit(max(LEAST_SPAN, history + 1)),
-            ),
-        )
-        .withColumn("window", F.floor(F.col("start") / F.col("span")))
-        .select("conv_key", "conv_id", "role", "text", "start", "idx", "sys", "window")
+    rows = rows.join(systems, "conv_key", "left").select(
+        "conv_key", "conv_id", "role", "text", "tokens", "start", "idx", "sys"
     )
-    rows = materialise(rows, "chat-turns")
-    following = Window.partitionBy("conv_key").orderBy("window")
+    rows = materialise(_windowed(rows, budget, history), "chat-turns")
     windows = (
         rows.groupBy("conv_key", "window")
-        .agg(F.min("start").alias("first"), F.first("conv_id").alias("conv_id"))
-        .withColumn("next_window", F.lead("window").over(following))
-        .withColumn("next_first", F.lead("first").over(following))
+        .agg(
+            F.min("start").alias("first"),
+            F.sum("tokens").alias("own"),
+            F.first("conv_id").alias("conv_id"),
+            F.first("sys").alias("sys"),
+        )
+        .withColumn("repeats", F.coalesce(F.col("window") > F.col("sys.idx"), F.lit(False)))
+        .withColumn("room", F.lit(budget) - F.col("own"))
+        .withColumn("repeats", F.col("repeats") & (F.col("sys.tokens") <= F.col("room")))
+        .withColumn(
+            "room",
+            F.least(
+                F.lit(history),
+                F.col("room") - F.when(F.col("repeats"), F.col("sys.tokens")).otherwise(zero),
+            ),
+        )
     )
     here = ["conv_key", "conv_id", "window", "part", "idx", "role", "text", "repeat"]
-    # Spans are longer than the history, so only the next window can repeat a turn.
     own = rows.withColumn("part", F.lit(1)).withColumn("repeat", F.lit(False))
+    # A turn starts at most ``history`` tokens before a window that repeats it.
+    reach = F.lit(max(1, history))
+    after = F.floor(F.col("first") / reach)
     again = (
-        rows.join(windows.drop("conv_id", "first"), ["conv_key", "window"])
-        .where(F.col("next_first") - F.col("start") <= history)
+        rows.drop("window", "tokens", "conv_id")
+        .withColumn("near", F.floor(F.col("start") / reach))
+        .join(
+            windows.where("room > 0")
+            .select("conv_key", "conv_id", "window", "first", "room", F.explode(F.array(after, after - 1)).alias("near")),
+            ["conv_key", "near"],
+        )
+        .where((F.col("idx") < F.col("window")) & (F.col("first") - F.col("start") <= F.col("room")))
         .where(F.col("sys.idx").isNull() | (F.col("sys.idx") != F.col("idx")))
-        .drop("window")
-        .withColumnRenamed("next_window", "window")
         .withColumn("part", F.lit(1))
         .withColumn("repeat", F.lit(True))
     )
-    home = rows.where(F.col("idx") == F.col("sys.idx")).select(
-        "conv_key", F.col("window").alias("home"), "sys"
-    )
     kept = (
-        windows.join(home, "conv_key")
-        .where("window > home")
+        windows.where("repeats")
         .select(
             "conv_key",
             "conv_id",
@@ -158,6 +167,51 @@ def placed_turns(turns: DataFrame, budget: int, history: int) -> DataFrame:
     return own.select(here).union(again.select(here)).union(kept.select(here))
 
 
+def _windowed(rows: DataFrame, budget: int, history: int) -> DataFrame:
+    """``rows`` with ``window``, the idx of the first turn of their window. Holds
+    one window's tokens."""
+    names = [c for c in rows.columns if c != "sys"]
+    flat = rows.select(
+        *names,
+        F.col("sys.idx").alias("sys_idx"),
+        F.col("sys.role").alias("sys_role"),
+        F.col("sys.text").alias("sys_text"),
+        F.col("sys.tokens").cast("long").alias("sys_tokens"),
+        F.floor(F.col("idx") / CHUNK).alias("part"),
+    )
+    placed = flat.repartition("conv_key", "part").sortWithinPartitions("conv_key", "part", "idx")
+    schema = placed.withColumn("window", F.col("idx")).schema
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+
+    def work():
+        held: dict = {"key": None}
+
+        def step(batch):
+            if batch is None or not batch.num_rows:
+                return []
+            columns = batch.to_pydict()
+            starts = []
+            for key, part, idx, tokens, sys_idx, sys_tokens in zip(
+                *(columns[c] for c in ("conv_key", "part", "idx", "tokens", "sys_idx", "sys_tokens"))
+            ):
+                if (key, part) != held["key"] or held["own"] + tokens > held["room"]:
+                    system = sys_tokens if sys_idx is not None and idx > sys_idx else 0
+                    kept = min(history, max(0, budget - system) // 4)
+                    held.update(key=(key, part), first=idx, own=0, room=budget - system - kept)
+                held["own"] += tokens
+                starts.append(held["first"])
+            return [{**columns, "window": starts}]
+
+        return step
+
+    system = F.struct(
+        F.col("sys_idx").alias("idx"), F.col("sys_role").alias("role"),
+        F.col("sys_text").alias("text"), F.col("sys_tokens").alias("tokens"),
+    )
+    sys = F.when(F.col("sys_idx").isNotNull(), system).alias("sys")
+    return arrow_rows(placed, work, schema).select(*names, sys, "window")
+
+
 _WINDOW = ("conv_key", "conv_id", "window", "formatted", "loss_start", "loss_end")
 _DIGEST = (
     "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars",
