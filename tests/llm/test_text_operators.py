@@ -361,3 +361,27 @@ def test_queries_agree_with_the_libraries(spark):
         assert (p.n_words, p.n_base, p.first_word, p.last_word, p.base_labels) == base_places(
             d.text
         )
+
+
+@pytest.mark.parametrize("length", [18, 23, 24, 60, 256])
+def test_counts_of_long_words_outside_the_vocabulary_are_finite(length):
+    pieces = language_id._vocabulary(PIECES)
+    model = language_id._distribution(np.ones(pieces.size + 1))
+    word = "𐎀" * length
+    used = language_id.expected_counts([word, "plain"], np.array([2.0, 1.0]), pieces, model)
+    assert np.isfinite(used).all()
+    spelled = [pieces.byte[b] for b in "𐎀".encode()]
+    assert used[spelled].sum() == pytest.approx(2 * 4 * length, rel=1e-6)
+    logs = language_id.log_likelihoods([word], pieces, np.stack([model, model**3], axis=1))
+    assert np.isfinite(logs).all() and logs[0, 1] < logs[0, 0] < -500
+
+
+def test_a_long_word_spoils_no_model(spark):
+    texts = ["the cat sat on the mat " + "ᚠ" * 30, "le chat est sur la table", "𐎀" * 300]
+    docs = frame(spark, texts, ["en", "fr", "xx"])
+    models = language_id.fit(docs.select("doc_id", "lang", "text"), PIECES)
+    assert sorted(models) == ["en", "fr", "xx"]
+    assert all(np.isfinite(m).all() for m in models.values())
+    got = {r.doc_id: r for r in language_id.predict(docs, models, PIECES).collect()}
+    assert [got[i].lang_pred for i in sorted(got)] == ["en", "fr", "xx"]
+    assert all(0.5 <= r.score <= 1 for r in got.values())

@@ -36,7 +36,9 @@ PRIOR = 0.02
 FITTED_IN = 12
 #: Letters scored, and learned from, as one word at most.
 LONGEST = 256
-LEARNED = 24
+#: Words whose likelihood, or a part of it, falls below this are computed anew
+#: with logarithms.
+LEAST = 1e-250
 #: Words whose likelihoods a worker keeps.
 CACHED_WORDS = 120_000
 LETTERS_AT_ONCE = 100_000
@@ -129,10 +131,64 @@ def by_length(words: list[str]):
             yield rows[i : i + step]
 
 
+def _log_forward(n: int, logs: np.ndarray, extra, back: bool = False) -> np.ndarray:
+    """Logarithms of the sums over all segmentations up to (or, ``back``, from)
+    each place. ``logs`` is (length - 1, word, start) and maybe language;
+    ``extra`` (word, place, logarithm) of letters that are no piece."""
+    out = np.full((n + 1, logs.shape[1], *logs.shape[3:]), -np.inf)
+    out[n if back else 0] = 0
+    spelled: dict[int, list] = {}
+    for row, place, p in extra:
+        spelled.setdefault(place, []).append((row, p))
+    for i in range(1, n + 1):
+        to = n - i if back else i
+        for k in range(1, min(len(logs), i) + 1):
+            start, other = (to, to + k) if back else (to - k, to - k)
+            out[to] = np.logaddexp(out[to], out[other] + logs[k - 1, :, start])
+        place, other = (to, to + 1) if back else (to - 1, to - 1)
+        for row, p in spelled.get(place, ()):
+            out[to, row] = np.logaddexp(out[to, row], out[other, row] + p)
+    return out
+
+
+def _logs(model: np.ndarray) -> np.ndarray:
+    with np.errstate(divide="ignore"):
+        return np.log(model)
+
+
+def _exact_likelihoods(words: list[str], pieces: Pieces, logs: np.ndarray) -> np.ndarray:
+    at, chars = pieces.found(words)
+    extra = [(r, p, logs[raw].sum(axis=0)) for r, p, raw in pieces.unknown(at, chars)]
+    n = chars.shape[1]
+    return _log_forward(n, logs[at], extra)[n]
+
+
+def _exact_counts(
+    words: list[str], counts: np.ndarray, pieces: Pieces, logs: np.ndarray
+) -> np.ndarray:
+    at, chars = pieces.found(words)
+    n = chars.shape[1]
+    unknown = [(r, p, raw, logs[raw].sum()) for r, p, raw in pieces.unknown(at, chars)]
+    extra = [(r, p, log) for r, p, _, log in unknown]
+    share = logs[at]
+    forward, backward = _log_forward(n, share, extra), _log_forward(n, share, extra, back=True)
+    total = np.zeros(pieces.size + 1)
+    for k in range(1, len(at) + 1):
+        ends = n - k + 1
+        used = np.exp(forward[:ends] + backward[k:] + share[k - 1, :, :ends].T - forward[n]) * counts
+        total += np.bincount(at[k - 1, :, :ends].T.ravel(), used.ravel(), minlength=pieces.size + 1)
+    for row, place, raw, log in unknown:
+        used = np.exp(forward[place, row] + backward[place + 1, row] + log - forward[n, row])
+        for i in raw:
+            total[i] += used * counts[row]
+    return total
+
+
 def log_likelihoods(words: list[str], pieces: Pieces, model: np.ndarray) -> np.ndarray:
     """(word, language) logarithm of the sum over all segmentations. ``model``
     has a row for each piece and a last one of zeros, a column per language."""
     out = np.empty((len(words), model.shape[1]))
+    logs = None
     for rows in by_length(words):
         at, chars = pieces.found([words[i] for i in rows])
         n, reach = chars.shape[1], len(at)
@@ -142,6 +198,7 @@ def log_likelihoods(words: list[str], pieces: Pieces, model: np.ndarray) -> np.n
         forward = np.zeros((n + 1, len(rows), model.shape[1]))
         forward[0] = 1
         scale = np.zeros((len(rows), model.shape[1]))
+        low = np.zeros(len(rows), bool)
         for end in range(1, n + 1):
             own = forward[end]
             for k in range(1, min(reach, end) + 1):
@@ -152,9 +209,16 @@ def log_likelihoods(words: list[str], pieces: Pieces, model: np.ndarray) -> np.n
                 # Keep the window that later places still read within range.
                 window = forward[max(0, end - reach + 1) : end + 1]
                 top = window.max(axis=0)
+                low |= ~(window[-1] > LEAST * top).all(axis=1)
+                top[top == 0] = 1
                 window /= top
                 scale += np.log(top)
-        out[rows] = np.log(forward[n]) + scale
+        low |= ~(forward[n] > LEAST).all(axis=1)
+        out[rows] = _logs(forward[n]) + scale
+        if low.any():
+            logs = _logs(model) if logs is None else logs
+            for i in np.array(rows)[low]:
+                out[i] = _exact_likelihoods([words[i]], pieces, logs)[0]
     return out
 
 
@@ -183,7 +247,11 @@ def expected_counts(
             for row, place, _, p in extra:
                 if place == start:
                     backward[start, row] += backward[start + 1, row] * p
-        weight = counts[rows] / forward[n]
+        low = ~(forward[n] > LEAST)
+        if low.any():
+            own = np.array(rows)[low]
+            total += _exact_counts([words[i] for i in own], counts[own], pieces, _logs(model))
+        weight = np.where(low, 0, counts[rows] / np.where(low, 1, forward[n]))
         for k in range(1, reach + 1):
             ends = n - k + 1
             used = forward[:ends] * backward[k:] * share[k - 1, :, :ends].T * weight
@@ -219,7 +287,7 @@ def sample(labelled: DataFrame, rows: int) -> DataFrame:
 
 
 def word_counts(labelled: DataFrame) -> DataFrame:
-    """(lang, word, n) over the words of at most LEARNED letters."""
+    """(lang, word, n) over the words, in parts as they are scored."""
 
     def work():
         def step(batch):
@@ -228,8 +296,7 @@ def word_counts(labelled: DataFrame) -> DataFrame:
             counts: dict[tuple[str, str], int] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 for w in words_of(text.as_py() or ""):
-                    if len(w) <= LEARNED:
-                        counts[lang, w] = counts.get((lang, w), 0) + 1
+                    counts[lang, w] = counts.get((lang, w), 0) + 1
             if not counts:
                 return []
             langs, words = zip(*counts)
@@ -289,7 +356,7 @@ def fit(
     (doc_id, lang, text). The last entry of each is 0, for no piece."""
     known = labelled.where("lang is not null")
     words = materialise(word_counts(sample(known, rows)), "language-words")
-    langs = sorted(r[0] for r in words.select("lang").distinct().collect())
+    langs = sorted(r[0] for r in known.select("lang").distinct().collect())
     size = _vocabulary(path).size
     models = {lang: _distribution(np.ones(size + 1)) for lang in langs}
     for _ in range(rounds if langs else 0):
