@@ -1,0 +1,289 @@
+"""Cost-balanced packing, hard negatives and the manifest against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import struct
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from veritrail.llm import cost_packing, hard_negatives, merkle, queries
+
+# Packing
+
+BPE = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def brute_balance(lengths, capacity):
+    """(taken, sequence, offset) of all parts, one piece after the other."""
+    whole, over = divmod(sum(lengths), capacity)
+    rooms = [capacity] * whole
+    rooms += [1 << b for b in reversed(range(capacity.bit_length())) if over >> b & 1]
+    used, cost = [0] * len(rooms), [0] * len(rooms)
+    pool = {n: lengths.count(n) for n in set(lengths)}
+    out = []
+    for n in range(capacity, 0, -1):
+        while pool.get(n, 0):
+            own = range(len(rooms))
+            fits = [s for s in own if rooms[s] - used[s] >= n]
+            s = min(fits or [s for s in own if rooms[s] > used[s]], key=lambda s: (cost[s], s))
+            take = min(n, rooms[s] - used[s])
+            out.append((take, s, used[s]))
+            used[s] += take
+            cost[s] += cost_packing.LINEAR * take + cost_packing.QUADRATIC * take * take
+            pool[n] -= 1
+            pool[n - take] = pool.get(n - take, 0) + 1
+    assert used == rooms
+    return sorted(out)
+
+
+@pytest.mark.parametrize("capacity,n", [(16, 60), (64, 150), (1024, 90), (1024, 1), (5, 9), (8, 0)])
+def test_steps_assign_as_one_piece_after_the_other(capacity, n):
+    pick = random.Random(capacity + n)
+    lengths = [
+        pick.choice([capacity, pick.randint(1, capacity), pick.randint(1, capacity // 4 + 1)])
+        for _ in range(n)
+    ]
+    histogram = {k: lengths.count(k) for k in set(lengths)}
+    steps = cost_packing.balance(histogram, capacity)
+    if not n:
+        assert not len(steps["length"])
+        return
+    pieces = np.array([(k, r) for k, c in histogram.items() for r in range(c)])
+    zero = np.zeros(len(pieces), np.int64)
+    parts = cost_packing._followed(steps, np.arange(len(pieces)), zero, pieces[:, 0], pieces[:, 1])
+    _, _, take, sequence, offset = (np.concatenate(c).tolist() for c in zip(*parts))
+    assert sorted(zip(take, sequence, offset)) == brute_balance(lengths, capacity)
+
+
+def check_packed(rows, texts, capacity):
+    tokenizer = Tokenizer.from_file(BPE)
+    tokenizer.encode_special_tokens = True
+    by_doc, by_sequence = {}, {}
+    for r in rows:
+        by_doc.setdefault(r.doc_id, []).append(r)
+        by_sequence.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert set(by_doc) == set(texts)
+    lengths = []
+    for doc, text in texts.items():
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+        lengths += [capacity] * (len(ids) // capacity) + [len(ids) % capacity] * (len(ids) % capacity > 0)
+        at = 0
+        for r in sorted(by_doc[doc], key=lambda r: r.start):
+            own = ids[at : at + r.length]
+            assert (r.start, r.doc_tokens) == (at, len(ids))
+            assert r.ids_crc32 == zlib.crc32(struct.pack(f"<{len(own)}I", *own))
+            at += r.length
+        assert at == len(ids)
+    want = brute_balance(lengths, capacity)
+    assert sorted((r.length, r.sequence_id, r.offset) for r in rows) == want
+    for parts in by_sequence.values():
+        end = 0
+        for offset, length in sorted(parts):
+            assert offset == end
+            end += length
+        assert end == capacity or end & (end - 1) == 0
+
+
+def test_every_id_is_packed_once(spark):
+    pick = random.Random(4)
+    letters = "ab cD é\n\t  .,'9漢🙂"
+    texts = {i: "".join(pick.choice(letters) for _ in range(pick.randint(0, 90))) for i in range(60)}
+    texts |= {70: None, 71: "", 72: "word " * 300, 73: "<|endoftext|> it's", 74: "x" * 200, 75: " \n "}
+    frame = spark.createDataFrame(
+        [(i, t, 1, "z") for i, t in texts.items()], "doc_id long, text string, length int, task string"
+    )
+    check_packed(cost_packing.pack_documents(frame.repartition(5), BPE, 64).collect(), texts, 64)
+
+
+def test_packing_of_repeated_rows_and_empty_tables(spark):
+    rows = [(5, "a b c d e"), (5, "a b c d e"), (None, "f"), (None, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = cost_packing.pack_documents(frame, BPE, 8, with_ids=True).collect()
+    assert sum(r.length for r in got) == 6 + 6 + 2 + 1
+    assert all(len(r.ids) == r.length for r in got)
+    assert len({(r.sequence_id, r.offset) for r in got}) == len(got)
+    assert cost_packing.pack_documents(frame.where("false"), BPE).collect() == []
+
+
+def test_packing_query_on_the_given_table(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    check_packed(queries.QUERIES["op11_cost_packing"](spark, folder).collect(), texts, 1024)
+
+
+# Hard negatives
+
+
+def brute_mine(rows, every):
+    usable = {
+        (i, label, tuple(math.floor(256 * x) for x in v))
+        for i, v, label in rows
+        if None not in (i, label) and v and all(x is not None and math.isfinite(x) for x in v)
+    }
+    out = []
+    for i, label, v in usable:
+        if i % every:
+            continue
+        scored = sorted(
+            (-sum(x * y for x, y in zip(v, w)), j, m)
+            for j, m, w in usable
+            if j != i and len(w) == len(v)
+        )
+        for s, j, _ in [x for x in scored if x[2] == label][:5]:
+            fits = [x for x in scored if x[2] != label and 50 * -s <= 100 * -x[0] <= 95 * -s]
+            out += [(i, j, k + 1, x[1], -s, -x[0]) for k, x in enumerate(fits[:3])]
+    return sorted(out)
+
+
+def vectors(n, dims, seed):
+    random_numbers = np.random.default_rng(seed)
+    v = random_numbers.normal(size=(n, dims))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    # Copies and near copies, with equal scores between them.
+    for k in range(0, n, 6):
+        v[k] = v[k // 6] + random_numbers.normal(size=dims) * 0.01 * (k % 3)
+    labels = random_numbers.integers(0, 4, n).tolist()
+    return [(i, row, label) for i, (row, label) in enumerate(zip(v.tolist(), labels))]
+
+
+VECTOR = "vec_id long, embedding array<double>, label int"
+
+
+@pytest.mark.parametrize("n,dims,every,block", [(500, 16, 10, 64 * 100), (300, 64, 5, 4096 * 64)])
+def test_negatives_equal_brute_force(spark, monkeypatch, n, dims, every, block):
+    monkeypatch.setattr(hard_negatives, "BLOCK", block)
+    rows = vectors(n, dims, n)
+    rows += rows[:7] + [
+        (3, rows[5][1], 1), (None, rows[5][1], 1), (9001, None, 1), (9002, [], 1),
+        (9003, [math.nan] * dims, 1), (9004, [None] * dims, 1), (9005, rows[1][1], None),
+        (50000, rows[1][1][:-1], 1), (50001, rows[2][1][:-1], 1), (50002, rows[3][1][:-1], 2),
+        (60000, [0.0] * dims, 1), (60005, [math.inf] * dims, 1),
+    ]
+    frame = spark.createDataFrame([(*r, 1, 2.0) for r in rows], VECTOR + ", row int, score double")
+    got = hard_negatives.mine(frame, F.col("vec_id") % every == 0).collect()
+    want = brute_mine(rows, every)
+    assert len(want) > 100 and sorted(map(tuple, got)) == want
+    empty = hard_negatives.mine(frame.where("false"), F.lit(True))
+    assert empty.collect() == [] and empty.dtypes == [
+        ("anchor_id", "bigint"), ("positive_id", "bigint"), ("rank", "int"),
+        ("negative_id", "bigint"), ("positive_score", "bigint"), ("negative_score", "bigint"),
+    ]
+
+
+@pytest.mark.parametrize("share", [0.9, 0.3, 0.0, -0.5, None])
+def test_join_finds_all_pairs_above_the_threshold(share):
+    pick = np.random.default_rng(7)
+    rows = np.floor(pick.normal(size=(900, 40)) * 60 * np.linspace(2, 0.1, 40))
+    rows[::9] = np.floor(rows[::9] * 0.05)
+    anchors = np.concatenate([rows[::30] + 3, np.zeros((2, 40))])
+    scores = anchors @ rows.T
+    least = np.full(len(anchors), -np.inf) if share is None else share * scores.max(axis=1)
+    least[:3] += 17.5
+    found = {}
+    for i, j, score in hard_negatives.above(anchors, rows, least):
+        found |= {(a, b): s for a, b, s in zip(i.tolist(), j.tolist(), score.tolist())}
+    a, b = np.nonzero(scores >= least[:, None])
+    assert found == {(i, j): int(scores[i, j]) for i, j in zip(a.tolist(), b.tolist())}
+
+
+def test_index_leaves_out_what_a_threshold_covers():
+    rows = np.array([[9.0, 1, 0], [9, 9, 9], [1, 0, 0]])
+    norms = hard_negatives.suffix_norms(np.array([[2.0, 2, 2]])).max(axis=0)
+    index = hard_negatives.Index(rows, norms, 16.0)
+    # 1 * 2.8 < 16: the first row needs its first dimension only; the last none.
+    assert index.cut.tolist() == [3, 1, 0] and index.order.tolist() == [1, 0, 2]
+    assert index.listed.tolist() == [2, 1, 1]
+    assert index.indexed.tolist() == [[9, 9, 9], [9, 0, 0], [0, 0, 0]]
+
+
+# Manifest
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def brute_leaf(values):
+    return sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values))
+
+
+def brute_levels(nodes):
+    levels = [nodes]
+    while len(levels[-1]) > 1:
+        low = levels[-1]
+        levels.append([sha("".join(low[i : i + 3])) for i in range(0, len(low), 3)])
+    return levels
+
+
+def brute_path(levels, at):
+    out = []
+    for nodes in levels[:-1]:
+        run = at // 3 * 3
+        out.append(([nodes[k] for k in range(run, at)], nodes[at + 1 : run + 3]))
+        at //= 3
+    return out
+
+
+def brute_manifest(rows):
+    by_source = {}
+    for r in rows:
+        by_source.setdefault(r[1], []).append(r)
+    sources = sorted(by_source, key=lambda s: (s is not None, (s or "").encode()))
+    trees = []
+    for s in sources:
+        by_source[s].sort(key=lambda r: (r[0] is not None, r[0] or 0, brute_leaf(r)))
+        trees.append(brute_levels([brute_leaf(r) for r in by_source[s]]))
+    top = brute_levels([t[-1][0] for t in trees])
+    out = []
+    for k, s in enumerate(sources):
+        for i, r in enumerate(by_source[s]):
+            path = brute_path(trees[k], i) + brute_path(top, k)
+            seen = r
+            if r[0] is not None and zlib.crc32(str(r[0]).encode()) % 2 == 0 and r[4] is not None:
+                seen = (*r[:4], r[4].replace("\n", ""))
+            node = brute_leaf(seen)
+            for left, right in path:
+                node = sha("".join([*left, node, *right]))
+            proof = sha("".join("".join(a + b) for a, b in path))
+            root = top[-1][0]
+            out.append((r[0], brute_leaf(r), trees[k][-1][0], root, proof, node, node == root))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("sizes", [[1], [1, 1], [2, 1, 7], [260, 81, 82, 9, 27, 1, 1, 5, 244], []])
+def test_manifest_query_equals_brute_force(spark, tmp_path, sizes):
+    pick, rows = random.Random(len(sizes)), []
+    for k, n in enumerate(sizes):
+        for _ in range(n):
+            i = len(rows) if pick.random() > 0.05 else pick.choice([None, 3])
+            text = None if pick.random() < 0.05 else "é\nb" * pick.randint(0, 4)
+            rows.append((i, None if k == 1 else f"s{'é' * (k % 2)}{k}", None, len(rows) % 7, text))
+    rows += rows[:4]
+    frame = spark.createDataFrame(
+        [(*r, "x") for r in rows],
+        "doc_id long, source string, lang string, n_chars long, text string, node string",
+    )
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.QUERIES["op13_merkle_manifest"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got), key=repr) == brute_manifest(rows)
+
+
+def test_changed_rows_do_not_fold_to_the_root(spark):
+    rows = [(i, "a", f"text {i}") for i in range(50)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    proofs = merkle.manifest(frame, ["doc_id", "text"], keep=["text"])
+    other = merkle.leaf(F.col("doc_id"), F.concat("text", F.lit("!")))
+    got = proofs.select(
+        (merkle.folded(F.col("leaf"), F.col("path")) == F.col("root")).alias("same"),
+        (merkle.folded(other, F.col("path")) == F.col("root")).alias("changed"),
+    ).collect()
+    assert len(got) == 50 and all(r.same and not r.changed for r in got)

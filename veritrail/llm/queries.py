@@ -9,9 +9,12 @@ import public_tokenizers
 from veritrail.llm import (
     byte_bpe,
     chat,
+    cost_packing,
+    hard_negatives,
     language_id,
     lattice_dedup,
     license_scan,
+    merkle,
     minhash,
     nn_descent,
     packing,
@@ -28,6 +31,8 @@ URL_RULES = (
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 )
+#: Columns of a document's leaf, in order.
+LEAF_COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
 
 
@@ -128,6 +133,38 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chats(turns.unionByName(extra)))
 
 
+def cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return cost_packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def mined_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select(
+        "vec_id",
+        "embedding",
+        F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"),
+    )
+    return hard_negatives.mine(vectors, F.col("vec_id") % 50 == 0)
+
+
+def dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*LEAF_COLUMNS)
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    damaged = F.when(hit, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    columns = [damaged if c == "text" else F.col(c) for c in LEAF_COLUMNS]
+    proofs = merkle.manifest(
+        docs.withColumn("seen_leaf", merkle.leaf(*columns)), LEAF_COLUMNS, keep=["seen_leaf"]
+    )
+    return proofs.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.digest(merkle.proof_text(F.col("path"))).alias("proof_sha256"),
+        merkle.folded(F.col("seen_leaf"), F.col("path")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_language_id": language_ids,
     "op2_license_scans": license_scans,
@@ -139,4 +176,7 @@ QUERIES = {
     "op8_minhash_near_dedup": minhash_near_dedup,
     "op9_personal_data": personal_data,
     "op10_chat_formatting": chat_formatting,
+    "op11_cost_packing": cost_balanced_packing,
+    "op12_hard_negatives": mined_negatives,
+    "op13_merkle_manifest": dataset_manifest,
 }
