@@ -40,8 +40,14 @@ def _sorted(records, order):
     return sorted((tuple(_normal(r[i]) for i in order) for r in records), key=repr)
 
 
+#: What a trained forest says has no SQL form; tests/test_risk.py walks the trees.
+WITHOUT_SQL = {
+    "risk_score", "risk_auc", "report_risk_summary", "report_high_risk", "risk_score_by_trees",
+}
+
+
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(oracles.STATEMENTS)
+    assert set(QUERIES) - WITHOUT_SQL == set(oracles.STATEMENTS)
 
 
 @pytest.mark.parametrize("key", sorted(oracles.STATEMENTS))

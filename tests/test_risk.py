@@ -3,13 +3,15 @@ from __future__ import annotations
 import hashlib
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from tests.conftest import by, day, rows
 from tests.test_gold import assessments, evidence, systems
 from tests.test_silver import frame
-from veritrail.operators import risk, rollups
+from veritrail.operators import forest, risk, rollups
 from veritrail.operators import silver as s
+from veritrail.plans import queries
 from veritrail.plans.entities import AS_OF, Entities
 
 
@@ -113,12 +115,12 @@ def test_leaking_inputs_can_be_left_out(spark):
     assert model.stages[-1].numFeatures == len(honest)
 
 
-def test_many_families_fit(spark):
-    df = spark.range(400).select(
+def many_families(spark, number):
+    return spark.range(400).select(
         F.col("id").cast("string").alias("assessment_id"),
         F.lit("c").alias("control_id"),
         F.lit("s").alias("system_id"),
-        F.concat(F.lit("F"), F.col("id") % 60).alias("control_family_code"),
+        F.concat(F.lit("F'"), F.col("id") % number).alias("control_family_code"),
         *(
             (F.col("id") % (k + 2)).cast("int").alias(name)
             for k, name in enumerate(risk.FEATURES)
@@ -126,10 +128,99 @@ def test_many_families_fit(spark):
         ),
         (F.col("id") % 2).cast("double").alias(risk.LABEL),
     )
+
+
+def test_families_beyond_the_commonest_share_categories(spark):
+    df = many_families(spark, 60)
     model = risk.train(df, trees=2)
     assert model.stages[-1].getNumTrees == 2
+    own, shared = risk.FAMILIES - 1, risk.GROUPS
+    assert len(model.stages[1].labels) == own + shared
+    index = {r[0]: r[1] for r in model.transform(df).select("control_family_code", "family_index").collect()}
+    assert sorted(i for i in index.values() if i < own) == list(range(own))
+    rest = [i for i in index.values() if i >= own]
+    # No known family is an unseen one, and the rare ones do not all fall together.
+    assert len(rest) == 60 - own and max(rest) < own + shared and len(set(rest)) > 10
+    new = df.limit(1).withColumn("control_family_code", F.lit("zz"))
+    assert own <= model.transform(new).head().family_index < own + shared
+
+
+def test_as_many_families_as_categories_have_their_own(spark):
+    model = risk.train(many_families(spark, risk.FAMILIES - 1), trees=2)
     assert len(model.stages[0].labels) == risk.FAMILIES - 1
-    assert model.transform(df).agg(F.max("family_index")).head()[0] == risk.FAMILIES - 1
+
+
+def walked(nodes, x):
+    """Mean vote of the trees for one row, node by node."""
+    votes = []
+    for tree in nodes.values():
+        node = tree[0]
+        while node["feature"] is not None:
+            value = x[node["feature"]]
+            if node["threshold"] is not None:
+                left = value <= node["threshold"]
+            else:
+                left = value in node["categories"]
+            node = tree[node["left"] if left else node["right"]]
+        votes.append(node["share"])
+    return sum(votes) / len(votes)
+
+
+@pytest.mark.parametrize("families", [12, 60])
+def test_trees_as_a_table_score_like_the_model(spark, families):
+    df = many_families(spark, families).withColumn(
+        risk.LABEL, (F.xxhash64("control_family_code", "evidence_count") % 2 == 0).cast("double")
+    )
+    model = risk.train(df, trees=7)
+    table = forest.nodes(model)
+    trees = {}
+    for r in rows(table):
+        trees.setdefault(r["tree"], {})[r["node"]] = r
+    assert len(trees) == 7 and any(r["categories"] for r in rows(table))
+    indexed = PipelineModel(model.stages[:-2]).transform(df)
+    by_model = {r["assessment_id"]: r["risk_score"] for r in rows(risk.score(model, df, AS_OF))}
+    by_joins = forest.scores(indexed, table, risk.FEATURES, ["assessment_id"])
+    got = {r["assessment_id"]: r["risk_score"] for r in rows(by_joins)}
+    plain = {
+        r["assessment_id"]: walked(trees, [float(r[c]) for c in risk.FEATURES]) for r in rows(indexed)
+    }
+    assert got == pytest.approx(by_model) and plain == pytest.approx(by_model)
+
+
+def test_reports_follow_the_walked_trees(spark):
+    """Score, area, summary and list of the registered queries, recomputed."""
+    e = Entities(spark, "/root/testdata/sf0.001")
+    folder = e.sf_dir
+    scored = rows(queries.QUERIES["risk_score"](spark, folder))
+    by_joins = rows(queries.QUERIES["risk_score_by_trees"](spark, folder))
+    assert sorted(r["risk_score"] for r in scored) == pytest.approx(
+        sorted(r["risk_score"] for r in by_joins)
+    )
+    at_risk = {
+        r["assessment_id"]: r["implementation_status"] in ("Not Implemented", "Partially Implemented")
+        for r in rows(e.assessments)
+    }
+    test_ids = {r.assessment_id for r in risk.train_test(e.assessments)[1].collect()}
+    pos = [r["risk_score"] for r in scored if r["assessment_id"] in test_ids and at_risk[r["assessment_id"]]]
+    neg = [r["risk_score"] for r in scored if r["assessment_id"] in test_ids and not at_risk[r["assessment_id"]]]
+    won = sum((p > n) + (p == n) / 2 for p in pos for n in neg) / len(pos) / len(neg)
+    (auc,) = rows(queries.QUERIES["risk_auc"](spark, folder))
+    assert auc == {"test_rows": len(pos) + len(neg), "area_under_roc": pytest.approx(won, abs=1e-6)}
+    summary = rows(queries.QUERIES["report_risk_summary"](spark, folder))
+    assert [r["risk_level"] for r in summary] == [
+        x for x in ("High", "Medium", "Low") if any(r["risk_level"] == x for r in scored)
+    ]
+    for r in summary:
+        own = [x["risk_score"] for x in scored if x["risk_level"] == r["risk_level"]]
+        assert r["control_count"] == len(own)
+        assert r["avg_risk_pct"] == pytest.approx(100 * sum(own) / len(own), abs=0.051)
+    named = {r["system_id"]: r["system_name"] for r in rows(e.systems)}
+    high = [r for r in scored if r["risk_level"] == "High" and r["system_id"] in named]
+    high.sort(key=lambda r: (-r["risk_score"], r["control_id"], r["system_id"], r["assessment_id"]))
+    listed = rows(queries.QUERIES["report_high_risk"](spark, folder))
+    assert [(r["control_id"], r["system_id"], r["system_name"]) for r in listed] == [
+        (r["control_id"], r["system_id"], named[r["system_id"]]) for r in high[:20]
+    ]
 
 
 def test_malformed_ids_leave_the_bins_alone(spark):

@@ -4,13 +4,16 @@ import datetime as dt
 
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
 
 from tests.conftest import by, day
 from tests.test_silver import frame
+from veritrail.operators import quality, rollups
 from veritrail.operators import silver as s
 from veritrail.plans import landing
 from veritrail.sources import schemas
-from veritrail.streaming import ingest, refine
+from veritrail.streaming import ingest, live, refine, schema_log
+from veritrail.streaming.manifest import BatchTable
 
 
 def _assessments(spark, ids, status="Implemented"):
@@ -109,8 +112,8 @@ def test_one_table_of_a_shared_folder(spark, tmp_path):
         (file,) = (tmp_path / name).glob("*.parquet")
         (folder / f"{name}.parquet").write_bytes(file.read_bytes())
     stream = ingest.table_stream(spark, str(folder), files="beta.parquet")
-    ingest.append_available(stream, str(tmp_path / "out"), str(tmp_path / "cp"))
-    assert [r.v for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [2]
+    run = ingest.append_available(stream, str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert [r.v for r in run.rows().collect()] == [2]
 
 
 def test_every_batch_counts(spark, tmp_path):
@@ -128,8 +131,10 @@ def test_every_batch_counts(spark, tmp_path):
         assert ingest.rows_read(run) == 16
         raw = ingest.table_stream(spark, f"{store}/bronze/assessments", files_per_batch=1)
         target = f"{store}/silver/assessments"
-        cleaned = refine.CLEANERS["assessments"](raw.drop(ingest.RUN_COLUMN))
-        run = ingest.append_available(cleaned, target, f"{store}/checkpoints/s")
+        cleaned = quality.with_failure_bits(refine.CLEANERS["assessments"](raw), "assessments")
+        run = ingest.append_available(
+            cleaned, target, f"{store}/checkpoints/s", measures=quality.bit_metrics("assessments")
+        )
         assert refine.failed_expectations(run, "assessments")["failed_valid_status"] == 16
     finally:
         spark.conf.set(kept, before)
@@ -141,3 +146,130 @@ def test_a_schema_write_that_died_is_repaired(spark, tmp_path):
     location.mkdir()
     assert ingest.remembered_schema(spark, source, str(location)).names == ["a", "b"]
     assert ingest.remembered_schema(spark, source, str(location)).names == ["a", "b"]
+
+
+# Manifest
+
+
+def test_a_repeated_batch_is_skipped_and_a_dead_one_written_over(spark, tmp_path):
+    table = BatchTable(spark, str(tmp_path / "t"))
+    rows = spark.range(5)
+    assert table.read() is None and table.counted() == (0, {})
+    # A write that died before its record: its rows are not in the table.
+    spark.range(100).write.parquet(f"{table.root}/batch-0")
+    assert table.read() is None
+    even = F.count_if(F.col("id") % 2 == 0).alias("even")
+    assert table.write(rows, 0, "a", [even])
+    assert not table.write(spark.range(50), 0, "b", [even])
+    assert table.write(spark.range(7), 1, "b", [even])
+    assert table.counted() == (12, {"even": 7})
+    assert table.counted("b") == (7, {"even": 4}) and table.counted("none") == (0, {})
+    assert table.read().count() == 12 and table.read("a").count() == 5
+
+
+def test_counting_opens_no_data(spark, tmp_path):
+    source, store = str(tmp_path / "in"), str(tmp_path / "store")
+    landing.land_csv(_assessments(spark, ["1", "2"]).coalesce(1), source)
+    run = ingest.ingest_csv(spark, source, store, "assessments")
+    for data in (tmp_path / "store/bronze/assessments").glob("batch-*/*.parquet"):
+        data.write_bytes(b"")
+    assert ingest.rows_read(run) == 2
+
+
+def test_failing_rows_by_bits_and_run(spark, tmp_path):
+    store = str(tmp_path / "store")
+    runs = []
+    for ids, status in ((["1", "2"], "planned"), (["3", None], "implemented")):
+        rows = _assessments(spark, ids, status)
+        rows.write.mode("append").parquet(f"{store}/bronze/assessments")
+        runs.append(refine.refine(spark, store, "assessments").run_id)
+
+    def failing(*names, run=None):
+        found = refine.failing_rows(spark, store, "assessments", *names, run=run)
+        return sorted((r[0] or "-") for r in found.select("assessment_id").collect())
+
+    assert failing() == ["-", "1", "2"]
+    assert failing("valid_status") == ["1", "2"] and failing("valid_assessment_id") == ["-"]
+    assert failing("valid_status", run=runs[1]) == [] and failing(run=runs[0]) == ["1", "2"]
+    assert failing("valid_assessment_date") == []
+    stored = BatchTable(spark, f"{store}/silver/assessments").read()
+    want = quality.expectation_report(stored, "assessments", quality.EXPECTATIONS["assessments"])
+    got = quality.bit_report(stored, "assessments")
+    assert got.collect() == want.drop("violations").collect()
+
+
+# Schema log
+
+
+def test_files_with_other_headers_are_ingested(spark, tmp_path):
+    source, store = str(tmp_path / "in"), str(tmp_path / "store")
+
+    def land(text, name):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / name).write_text(text)
+
+    def run():
+        return ingest.rows_read(ingest.ingest_evolving_csv(spark, source, store, "things"))
+
+    def table():
+        rows = ingest.bronze_table(spark, store, "things", evolving=True).orderBy("a").collect()
+        return [r.asDict() for r in rows]
+
+    land("a,b,c\n1,x,y\n", "one.csv")
+    assert run() == 1 and run() == 0
+    land('c,a,b\n"Y, y",2,X\n', "moved.csv")
+    land("a,b,c,new col,d\n3,p,q,r,\n4,p,q,,\n", "added.csv")
+    land("a,c\n5,z\n", "missing.csv")
+    land("", "empty.csv")
+    assert run() == 4
+    rows = table()
+    assert [(r["a"], r["b"], r["c"]) for r in rows] == [
+        ("1", "x", "y"), ("2", "X", "Y, y"), ("3", "p", "q"), ("4", "p", "q"), ("5", None, "z"),
+    ]
+    assert [r[schema_log.RESCUED] for r in rows] == [None, None, {"new col": "r"}, None, None]
+    assert {r[schema_log.VERSION] for r in rows} == {0}
+    before = rows
+    log = schema_log.SchemaLog(spark, f"{store}/schema_log/things")
+    assert log.promote("d") == 1 and log.promote("d") == 1
+    land("d,a,b,c,e\n8,6,m,n,o\n", "later.csv")
+    assert run() == 1
+    *old, new = table()
+    assert [{k: x for k, x in r.items() if k != "d"} for r in old] == before
+    assert (new["d"], new[schema_log.RESCUED], new[schema_log.VERSION]) == ("8", {"e": "o"}, 1)
+
+
+# Live rollups
+
+
+def test_states_take_new_rows_once_and_merge(spark, tmp_path, monkeypatch, as_of):
+    monkeypatch.setattr(live, "MOST_PARTS", 2)
+    store = str(tmp_path / "store")
+    state = live.LiveState(spark, store, "assessments")
+    assert live.LiveRollups(spark, store, as_of).family_rollup().collect() == []
+    taken = []
+    for i in range(4):
+        raw = _assessments(spark, [str(i), f"{i}b"], "not implemented")
+        raw = raw.withColumn("system_id", F.lit(str(i % 3))).withColumn(
+            "control_id", F.lit(f"ac-{i % 2}")
+        )
+        raw.write.mode("append").parquet(f"{store}/bronze/assessments")
+        refine.refine(spark, store, "assessments")
+        live.start_update(spark, store, "assessments").awaitTermination()
+        taken.append([r.rows for r in state.commits().orderBy("batch").collect()])
+    assert taken[-1] == [2, 2, 2, 2]
+    assert len(state.commits().orderBy(F.desc("batch")).head().parts) <= 2
+    silver = refine.silver_table(spark, store, "assessments", as_of)
+    # A batch that comes again changes nothing.
+    assert not state.apply(silver, 3) and not state.apply(silver, 0)
+    for shift in (0, 6):
+        today = as_of + dt.timedelta(days=shift)
+        rows = refine.silver_table(spark, store, "assessments", today)
+        now = live.LiveRollups(spark, store, today)
+        for got, want in (
+            (now.family_rollup(), rollups.family_rollup(rows)),
+            (now.system_assessment_rollup(), rollups.system_assessment_rollup(rows)),
+            (now.control_rollup(), rollups.control_rollup(rows)),
+            (now.assessment_totals(), rollups.assessment_totals(rows)),
+        ):
+            got = got.select(*want.columns)
+            assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))

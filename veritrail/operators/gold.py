@@ -19,8 +19,12 @@ def stamped(df: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def compliance_summary(assessments: DataFrame, as_of: dt.date) -> DataFrame:
+    return family_summary(rollups.family_rollup(assessments), as_of)
+
+
+def family_summary(family_rollup: DataFrame, as_of: dt.date) -> DataFrame:
     assessable = F.col("total_assessments") - F.col("not_applicable_count")
-    summary = rollups.family_rollup(assessments).withColumns(
+    summary = family_rollup.withColumns(
         {
             "assessable_controls": assessable,
             "compliance_percentage": g.weighted_percent(
@@ -162,13 +166,13 @@ def evidence_gap_observed(evidence_rollup: DataFrame, as_of: dt.date) -> DataFra
     return _with_gap_columns(evidence_rollup, as_of)
 
 
-def _required(controls: DataFrame) -> DataFrame:
+def required(controls: DataFrame) -> DataFrame:
     return controls.where(F.col(f"baseline_{v.EXPECTED_EVIDENCE_BASELINE}")).select(
         "control_id", "control_name", "control_family"
     )
 
 
-def _covered(systems: DataFrame) -> DataFrame:
+def covered(systems: DataFrame) -> DataFrame:
     return rollups.in_scope(systems).select("system_id", "system_name")
 
 
@@ -176,29 +180,29 @@ def expected_evidence(controls: DataFrame, systems: DataFrame) -> DataFrame:
     """Who owes evidence for what: every required control for every covered
     system. The two lists say it in controls + systems rows; a pair is expected
     if both of its sides are listed."""
-    required = _required(controls).select(
+    owed = required(controls).select(
         F.lit("control").alias("side"),
         F.col("control_id").alias("entity_id"),
         F.col("control_name").alias("entity_name"),
         F.col("control_family").alias("control_family"),
     )
-    covered = _covered(systems).select(
+    owing = covered(systems).select(
         F.lit("system").alias("side"),
         F.col("system_id").alias("entity_id"),
         F.col("system_name").alias("entity_name"),
         F.lit(None).cast("string").alias("control_family"),
     )
-    return required.unionByName(covered)
+    return owed.unionByName(owing)
 
 
 def expected_pairs(
     controls: DataFrame, systems: DataFrame, system_ids: Sequence[str]
 ) -> DataFrame:
     """The expected pairs of the systems named, one row each."""
-    named = _required(controls).withColumn(
+    named = required(controls).withColumn(
         "system_id", F.explode(F.lit(list(system_ids)).cast("array<string>"))
     )
-    return named.join(_covered(systems), "system_id").select(
+    return named.join(covered(systems), "system_id").select(
         "control_id", "system_id", "control_name", "control_family", "system_name"
     )
 
@@ -210,8 +214,8 @@ def evidence_gap_matrix(
     without a row here has none, so it is Missing and Critical; how many these
     are, :func:`missing_by_system` and :func:`missing_by_control` say."""
     held = (
-        evidence_rollup.join(_required(controls), "control_id")
-        .join(_covered(systems), "system_id")
+        evidence_rollup.join(required(controls), "control_id")
+        .join(covered(systems), "system_id")
         .select(
             "control_id",
             "system_id",
@@ -243,34 +247,53 @@ def _missing(own: DataFrame, key: str, others: DataFrame, held: DataFrame) -> Da
 def missing_by_system(
     controls: DataFrame, systems: DataFrame, evidence_rollup: DataFrame
 ) -> DataFrame:
-    required, covered = _required(controls), _covered(systems)
-    held = evidence_rollup.join(required, "control_id", "left_semi")
-    return _missing(covered, "system_id", required, held)
+    owed, owing = required(controls), covered(systems)
+    held = evidence_rollup.join(owed, "control_id", "left_semi")
+    return _missing(owing, "system_id", owed, held)
 
 
 def missing_by_control(
     controls: DataFrame, systems: DataFrame, evidence_rollup: DataFrame
 ) -> DataFrame:
-    required, covered = _required(controls), _covered(systems)
-    held = evidence_rollup.join(covered, "system_id", "left_semi")
-    return _missing(required, "control_id", covered, held)
+    owed, owing = required(controls), covered(systems)
+    held = evidence_rollup.join(owing, "system_id", "left_semi")
+    return _missing(owed, "control_id", owing, held)
 
 
 def audit_readiness(
     assessments: DataFrame, evidence: DataFrame, systems: DataFrame, as_of: dt.date
 ) -> DataFrame:
-    """One row of readiness metrics.
+    """One row of readiness metrics."""
+    return readiness(
+        rollups.assessment_totals(assessments),
+        rollups.evidence_totals(evidence),
+        rollups.scope_totals(systems),
+        as_of,
+    )
 
-    The three inputs reduce to one row each and are put side by side as scalar
-    subqueries, which Spark runs concurrently. Scores build on the already
-    rounded percentages.
-    """
-    evidence_row = rollups.evidence_totals(evidence).select(F.struct("*")).scalar()
-    scope_row = rollups.scope_totals(systems).select(F.struct("*")).scalar()
-    totals = rollups.assessment_totals(assessments).select(
+
+def readiness(
+    assessment_totals: DataFrame,
+    evidence_totals: DataFrame,
+    scope_totals: DataFrame,
+    as_of: dt.date,
+) -> DataFrame:
+    """Readiness from the three one-row totals."""
+    totals = side_by_side(assessment_totals, evidence_totals, scope_totals)
+    return stamped(readiness_scores(totals), as_of)
+
+
+def side_by_side(
+    assessment_totals: DataFrame, evidence_totals: DataFrame, scope_totals: DataFrame
+) -> DataFrame:
+    """The three one-row totals in one row, as scalar subqueries, which Spark
+    runs concurrently."""
+    evidence_row = evidence_totals.select(F.struct("*")).scalar()
+    scope_row = scope_totals.select(F.struct("*")).scalar()
+    totals = assessment_totals.select(
         "*", evidence_row.alias("_evidence"), scope_row.alias("_scope")
     )
-    flat = totals.select(
+    return totals.select(
         "total_assessments",
         "unique_controls_assessed",
         "systems_assessed",
@@ -281,7 +304,12 @@ def audit_readiness(
         "overdue_remediation_count",
         "_evidence.*",
         "_scope.*",
-    ).withColumn(
+    )
+
+
+def readiness_scores(totals: DataFrame) -> DataFrame:
+    """Coverage, score and status; they build on the rounded percentages."""
+    flat = totals.withColumn(
         "evidence_coverage_pct",
         g.percent(F.col("controls_with_current_evidence"), F.col("unique_controls_assessed")),
     )
@@ -293,9 +321,8 @@ def audit_readiness(
         + (1 - late) * 100 * weight["on_time"]
     )
     scored = flat.withColumn("audit_readiness_score", score)
-    return stamped(
-        scored.withColumn("readiness_status", g.readiness_grade(F.col("audit_readiness_score"))),
-        as_of,
+    return scored.withColumn(
+        "readiness_status", g.readiness_grade(F.col("audit_readiness_score"))
     )
 
 

@@ -88,3 +88,64 @@ def write_metrics(table: str) -> list[Column]:
 def violating_rows(df: DataFrame, predicate: str) -> DataFrame:
     """The rows behind a ``violations`` count."""
     return df.filter(f"NOT ({predicate})")
+
+
+# One bit per expectation, in the order of their names in EXPECTATIONS; a set
+# bit is a failure, unknown outcomes included. A long has room for 63.
+BITS = "_failed"
+
+
+def failure_bits(expectations: Mapping[str, str]) -> Column:
+    """The expectations that a row fails, as bits of a long."""
+    marks = (
+        F.when(F.coalesce(F.expr(p), F.lit(False)), 0).otherwise(1 << i).cast("long")
+        for i, p in enumerate(expectations.values())
+    )
+    return reduce(Column.bitwiseOR, marks)
+
+
+def mask(expectations: Mapping[str, str], *names: str) -> int:
+    """The bits of ``names``, of all expectations if none is named."""
+    order = list(expectations)
+    return sum(1 << order.index(n) for n in (names or order))
+
+
+def with_failure_bits(
+    df: DataFrame, table: str, expectations: Mapping[str, str] | None = None
+) -> DataFrame:
+    return df.withColumn(BITS, failure_bits(expectations or EXPECTATIONS[table]))
+
+
+def _bit(number: int) -> Column:
+    return F.col(BITS).bitwiseAND(F.lit(1 << number).cast("long")) != 0
+
+
+def bit_metrics(table: str, expectations: Mapping[str, str] | None = None) -> list[Column]:
+    """Failed-row counters from the bits, to observe during a write."""
+    names = expectations or EXPECTATIONS[table]
+    return [F.count_if(_bit(i)).alias(f"failed_{name}") for i, name in enumerate(names)]
+
+
+def failing(
+    df: DataFrame, table: str, *names: str, expectations: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Rows with bits that fail any of the expectations ``names``: one test of
+    the stored bits, whatever the expectations are."""
+    chosen = mask(expectations or EXPECTATIONS[table], *names)
+    return df.where(F.col(BITS).bitwiseAND(F.lit(chosen).cast("long")) != 0)
+
+
+def bit_report(
+    df: DataFrame, table: str, expectations: Mapping[str, str] | None = None
+) -> DataFrame:
+    """(table_name, expectation, passed, failed) from stored bits, in one scan."""
+    rows = [
+        F.struct(
+            F.lit(table).alias("table_name"),
+            F.lit(name).alias("expectation"),
+            F.count_if(~_bit(i)).alias("passed"),
+            F.count_if(_bit(i)).alias("failed"),
+        )
+        for i, name in enumerate(expectations or EXPECTATIONS[table])
+    ]
+    return df.agg(F.array(*rows).alias("report")).select(F.inline("report"))

@@ -5,10 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,9 +30,12 @@ TREES = 50
 DEPTH = 5
 SEED = 42
 BINS = 32
-# The forest needs a bin per family, one of them for unseen ones; families
-# beyond that, rarest first, count as unseen. BINS never follows the data.
+# The forest needs a bin per family and one for unseen ones. Up to this many
+# families each have their own. Of more, the rarer ones share GROUPS categories,
+# chosen by a hash of the family, and the forest has that many bins more: no
+# family counts as unseen, and the bins still do not follow the data.
 FAMILIES = BINS - 1
+GROUPS = 32
 SCORE_BANDS = 1000
 # Labelled rows to learn from, at most; a larger table is thinned by a hash of
 # the assessment id. Scoring always covers all rows.
@@ -133,14 +136,36 @@ def bounded_sample(features: DataFrame, max_rows: int) -> DataFrame:
 
 
 def family_labels(features: DataFrame) -> list[str]:
-    """The commonest well-formed families, commonest first. An id that does not
-    follow the control-id pattern has the family '' and adds no category."""
+    """The commonest well-formed families, commonest first, one more than have
+    a category of their own. An id that does not follow the control-id pattern
+    has the family '' and adds no category."""
     family = F.col("control_family_code")
     counted = features.where(family != "").groupBy("control_family_code").count()
-    first = counted.orderBy(F.desc("count"), "control_family_code").limit(FAMILIES - 1)
+    first = counted.orderBy(F.desc("count"), "control_family_code").limit(FAMILIES)
     return [r[0] for r in first.collect()] or [""]
 
 
+def family_stages(labels: Sequence[str]) -> tuple[list[Transformer], int]:
+    """Stages that give every family its index, and the bins they need."""
+    if len(labels) < FAMILIES:
+        return [_index("control_family_code", labels)], BINS
+    own = labels[: FAMILIES - 1]
+    quoted = ", ".join("'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'" for x in own)
+    group = f"concat('#', pmod(xxhash64(control_family_code), {GROUPS}))"
+    grouped = SQLTransformer(
+        statement="SELECT *, CASE WHEN control_family_code = '' OR control_family_code IN "
+        f"({quoted}) THEN control_family_code ELSE {group} END AS family_group FROM __THIS__"
+    )
+    shared = [f"#{i}" for i in range(GROUPS)]
+    return [grouped, _index("family_group", [*own, *shared])], BINS + GROUPS
+
+
+def _index(column: str, labels: Sequence[str]) -> StringIndexerModel:
+    return StringIndexerModel.from_labels(
+        list(labels), inputCol=column, outputCol="family_index", handleInvalid="keep"
+    )
+
+
 def train(
     features: DataFrame,
     *,
@@ -158,22 +183,17 @@ def train(
     all that tasks need when the model is shipped to them.
     """
     features = bounded_sample(features, max_rows)
-    families = StringIndexerModel.from_labels(
-        family_labels(features),
-        inputCol="control_family_code",
-        outputCol="family_index",
-        handleInvalid="keep",
-    )
+    families, bins = family_stages(family_labels(features))
     forest = RandomForestClassifier(
         labelCol=LABEL,
         featuresCol="features",
         numTrees=trees,
         maxDepth=depth,
         seed=seed,
-        maxBins=BINS,
+        maxBins=bins,
     )
     assembler = VectorAssembler(inputCols=list(inputs), outputCol="features")
-    return Pipeline(stages=[families, assembler, forest]).fit(features).copy()
+    return Pipeline(stages=[*families, assembler, forest]).fit(features).copy()
 
 
 def area_under_roc(model: PipelineModel, test: DataFrame) -> float:

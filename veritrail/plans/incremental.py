@@ -12,13 +12,14 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from veritrail.operators import gold, rollups
 from veritrail.operators import silver as s
 from veritrail.plans import medallion
 from veritrail.sources import schemas
 from veritrail.sources.audit import with_audit
-from veritrail.sources.readers import read_csv
+from veritrail.sources.readers import read_csv, read_table
 from veritrail.sources.sinks import write_table
-from veritrail.streaming import ingest, refine
+from veritrail.streaming import ingest, live, refine
 
 STREAMED = ("systems", "assessments", "evidence")
 CATALOGUES = ("controls", "criteria", "control_mapping")
@@ -32,7 +33,7 @@ def advance(spark: SparkSession, landing: Mapping[str, str], store: str) -> dict
             return ingest.start_json(
                 spark, landing[entity], store, entity, schemas.EVIDENCE_SCHEMA
             )
-        return ingest.start_csv(spark, landing[entity], store, entity)
+        return ingest.start_evolving_csv(spark, landing[entity], store, entity)
 
     # The entities are independent: their streams run side by side.
     landed = {entity: start(entity) for entity in STREAMED}
@@ -84,3 +85,49 @@ def publish(
         ("risk", medallion.build_risk(spark, layers, as_of)),
     )
     return {f"{step}.{table}": seen for step, tables in steps for table, seen in tables.items()}
+
+
+def refresh(
+    spark: SparkSession,
+    landing: Mapping[str, str],
+    store: str,
+    as_of: dt.date,
+    layers: medallion.Layers,
+) -> dict[str, dict]:
+    """Bring the business tables up to date from the silver rows that are new.
+
+    The rollups' states take in the new rows; every table then follows from the
+    states, the inventory of systems and the catalogues. Nothing reads the
+    assessments or the evidence as a whole. Returns what each write observed.
+    """
+    layers.create(spark)
+    live.update(spark, store)
+    now = live.LiveRollups(spark, store, as_of)
+    frames = catalogues(spark, landing)
+    mapping = frames.pop("control_mapping")
+    frames["systems"] = refine.silver_table(spark, store, "systems", as_of)
+    written = {f"silver.{n}": seen for n, seen in medallion.store_silver(frames, layers).items()}
+    controls, criteria, systems = (
+        read_table(spark, f"{layers.silver}.{n}") for n in ("controls", "criteria", "systems")
+    )
+
+    def put(name: str, df: DataFrame) -> DataFrame:
+        written[f"gold.{name}"] = medallion.write_gold(df, layers, name)
+        return read_table(spark, f"{layers.gold}.{name}")
+
+    pairs = put("evidence_pairs", now.evidence_pairs())
+    rollup = rollups.evidence_rollup(pairs)
+    by_system = rollups.system_evidence_from_pairs(pairs)
+    put("control_compliance_summary", gold.family_summary(now.family_rollup(), as_of))
+    put(
+        "system_compliance_scorecard",
+        gold.system_scorecard(systems, now.system_assessment_rollup(), by_system, as_of),
+    )
+    crosswalk = gold.cross_framework(controls, mapping, criteria, now.control_rollup(), as_of)
+    put("cross_framework_mapping", crosswalk)
+    put("missing_evidence_by_system", gold.missing_by_system(controls, systems, rollup))
+    put("missing_evidence_by_control", gold.missing_by_control(controls, systems, rollup))
+    put("evidence_gap_analysis", gold.evidence_gap_matrix(controls, systems, rollup, as_of))
+    totals = (now.assessment_totals(), now.evidence_totals(), rollups.scope_totals(systems))
+    put("audit_readiness_metrics", gold.readiness(*totals, as_of))
+    return written

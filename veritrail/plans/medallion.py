@@ -125,7 +125,7 @@ def build_silver(spark: SparkSession, layers: Layers, as_of: dt.date) -> dict[st
     return store_silver(frames, layers)
 
 
-def _write_gold(df: DataFrame, layers: Layers, name: str) -> dict[str, object]:
+def write_gold(df: DataFrame, layers: Layers, name: str) -> dict[str, object]:
     return write_table(
         df,
         f"{layers.gold}.{name}",
@@ -152,7 +152,7 @@ def build_gold(
     written = {}
 
     def store(name: str, df: DataFrame) -> DataFrame:
-        written[name] = _write_gold(df, layers, name)
+        written[name] = write_gold(df, layers, name)
         return read_table(spark, f"{layers.gold}.{name}")
 
     pairs = store("evidence_pairs", rollups.evidence_pairs(evidence))
@@ -206,7 +206,7 @@ def build_alerts(
     )
     return {
         "compliance_rules": stored,
-        "compliance_alerts": _write_gold(alerts, layers, "compliance_alerts"),
+        "compliance_alerts": write_gold(alerts, layers, "compliance_alerts"),
     }
 
 
@@ -224,7 +224,7 @@ def build_risk(spark: SparkSession, layers: Layers, as_of: dt.date) -> dict[str,
     model = risk.train(train_rows)
     auc = risk.area_under_roc(model, test_rows)
     name = "control_risk_predictions"
-    written = _write_gold(risk.score(model, features, as_of), layers, name)
+    written = write_gold(risk.score(model, features, as_of), layers, name)
     return {name: {**written, "auc": auc}}
 
 

@@ -6,13 +6,17 @@ entity views here; the batch and incremental runs read them from storage.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veritrail.operators import (
+    bitmaps,
+    forest,
     gold,
     profiles,
     quality,
@@ -20,7 +24,10 @@ from veritrail.operators import (
     risk,
     rollups,
     rules,
+    skew,
+    timeline,
 )
+from veritrail.functions import grading as g
 from veritrail.operators import silver as s
 from veritrail.plans import incremental, landing, medallion
 from veritrail.plans.entities import AS_OF, BRONZE, Entities
@@ -29,7 +36,8 @@ from veritrail.sources.audit import with_audit
 from veritrail.sources.readers import read_csv, read_jsonl, read_table
 from veritrail.sources.scratch import materialise, new_scratch_dir
 from veritrail.sources.sinks import layer_counts, write_table
-from veritrail.streaming import ingest, refine
+from veritrail.streaming import ingest, live, refine
+from veritrail.streaming.manifest import BatchTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -314,6 +322,72 @@ def gold_audit_readiness(spark: SparkSession, folder: str) -> DataFrame:
     return _readiness(Entities(spark, folder))
 
 
+TIMELINE_DAYS = 90
+
+
+@query
+def readiness_timeline(spark: SparkSession, folder: str) -> DataFrame:
+    """Every day of half a year around the reporting day."""
+    e = Entities(spark, folder)
+    reach = dt.timedelta(days=TIMELINE_DAYS)
+    return timeline.readiness_timeline(
+        materialise(e.assessments, "silver-assessments"),
+        materialise(e.evidence, "silver-evidence"),
+        e.systems,
+        AS_OF - reach,
+        AS_OF + reach,
+    )
+
+
+# --- evidence bitmaps ---------------------------------------------------------
+
+
+def _bitmaps(e: Entities) -> tuple[DataFrame, DataFrame]:
+    numbers = materialise(bitmaps.dense_ids(e.systems, "system_id"), "system-numbers")
+    return materialise(bitmaps.system_bitmaps(_pairs(e), numbers), "bitmaps"), numbers
+
+
+@query
+def evidence_by_control(spark: SparkSession, folder: str) -> DataFrame:
+    e = Entities(spark, folder)
+    return bitmaps.control_coverage(e.controls, e.systems, *_bitmaps(e))
+
+
+@query
+def evidence_by_family_unit(spark: SparkSession, folder: str) -> DataFrame:
+    e = Entities(spark, folder)
+    return bitmaps.family_unit_coverage(e.controls, e.systems, *_bitmaps(e), "business_unit")
+
+
+#: Family and units of which the missing pairs are listed.
+LISTED_FAMILY, LISTED_UNITS = "PR", ("FRANCE", "GERMANY", "CHINA", "BRAZIL")
+
+
+@query
+def evidence_missing_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    e = Entities(spark, folder)
+    controls = e.controls.where(F.col("control_family_code") == LISTED_FAMILY)
+    systems = e.systems.where(F.col("business_unit").isin(*LISTED_UNITS))
+    return bitmaps.missing_pairs(controls, systems, *_bitmaps(e))
+
+
+@query
+def assessment_vs_peers(spark: SparkSession, folder: str) -> DataFrame:
+    """Every assessment beside the average of its family, a join of all rows on
+    a key of few values with an aggregate of the same rows."""
+    rows = materialise(
+        Entities(spark, folder).assessments.select(
+            "assessment_id", "control_family_code", "compliance_score"
+        ),
+        "scored",
+    )
+    peers = rows.groupBy("control_family_code").agg(
+        F.count(F.lit(1)).alias("family_assessments"),
+        g.one_decimal(F.avg("compliance_score")).alias("family_score"),
+    )
+    return skew.skew_join(rows, peers, "control_family_code", "left")
+
+
 # --- rules and alerts -------------------------------------------------------
 
 
@@ -322,6 +396,32 @@ def rules_active(spark: SparkSession, folder: str) -> DataFrame:
     return rules.rule_activity(_alerts(Entities(spark, folder)), rules.standard_rules())
 
 
+#: Rule kept in the stored table but switched off, and one of a reader's own.
+SILENT_RULE, OWN_RULE = "stale_assessment", "expired_evidence"
+
+
+@query
+def alerts_from_stored_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Rules are cleared and written anew as a table, one of them changed and one
+    switched off; what is loaded from the table raises the alerts."""
+    path = new_scratch_dir(spark, "rules-table")
+    name = f"veritrail_{path.rsplit('-', 1)[1]}"
+    book = rules.RuleBook()
+    for r in rules.standard_rules().active():
+        code = r.check_code
+        if r.rule_name == OWN_RULE:
+            code = rules.check(("FAIL", "is_expired"), ("WARN", "days_until_expiry < 60"))
+        book.insert(r.rule_name, r.rule_description, code, r.severity, r.rule_name != SILENT_RULE)
+    write_table(rules.standard_rules().to_frame(spark), name, path=path)
+    write_table(book.to_frame(spark), name, path=path, comment="Compliance rules")
+    loaded = rules.RuleBook.from_frame(read_table(spark, name))
+    e = Entities(spark, folder)
+    alerts = rules.evidence_alerts(e.evidence, loaded, AS_OF).unionByName(
+        rules.system_alerts(_scorecard(e), loaded, AS_OF)
+    )
+    return _then_dropped(spark, name, alerts)
+
+
 @query
 def alerts_expired_evidence(spark: SparkSession, folder: str) -> DataFrame:
     e = Entities(spark, folder)
@@ -437,13 +537,24 @@ def risk_split(spark: SparkSession, folder: str) -> DataFrame:
     return risk.with_split(rows)
 
 
-# Places of features, fitted model and predictions by application and tables:
-# the forest is trained once and every model query reads what is stored.
-_risk_stores: dict[tuple[str, str], dict[str, str]] = {}
+TABLES = ("region", "nation", "supplier", "part", "orders", "lineitem")
+
+
+def _identity(spark: SparkSession, folder: str) -> tuple:
+    """What tells tables from others: the application, and number, names, sizes
+    and times of their files. Contents are not read."""
+    files = spark.read.format("binaryFile").load([f"{folder}/{t}.parquet" for t in TABLES])
+    mark = F.xxhash64("path", "length", "modificationTime").cast("decimal(20,0)")
+    return (spark.sparkContext.applicationId, folder, *files.agg(F.count("path"), F.sum(mark)).head())
+
+
+# Places of features, fitted model and predictions by the tables' files: the
+# forest is trained once and every model query reads what is stored.
+_risk_stores: dict[tuple, dict[str, str]] = {}
 
 
 def _risk_store(e: Entities) -> dict[str, DataFrame | PipelineModel]:
-    spark, key = e.spark, (e.spark.sparkContext.applicationId, e.sf_dir)
+    spark, key = e.spark, _identity(e.spark, e.sf_dir)
     if key not in _risk_stores:
         root = new_scratch_dir(spark, "risk")
         places = {name: f"{root}/{name}" for name in ("features", "model", "predictions")}
@@ -462,12 +573,64 @@ def _risk_store(e: Entities) -> dict[str, DataFrame | PipelineModel]:
     }
 
 
-# What a forest predicts has no SQL form. These queries return the predictions'
-# keys with checks that hold for any forest, so that SQL can state all of it.
+# What a forest predicts has no SQL form. Beside each of these queries is one
+# that checks its rows for what holds for any forest, which SQL can state.
 
 
 @query
 def risk_score(spark: SparkSession, folder: str) -> DataFrame:
+    return _risk_store(Entities(spark, folder))["predictions"]
+
+
+@query
+def risk_auc(spark: SparkSession, folder: str) -> DataFrame:
+    store = _risk_store(Entities(spark, folder))
+    _, test_rows = risk.train_test(store["features"])
+    auc = risk.area_under_roc(store["model"], test_rows)
+    return test_rows.agg(F.count(F.lit(1)).alias("test_rows")).withColumn(
+        "area_under_roc", F.lit(auc)
+    )
+
+
+@query
+def report_risk_summary(spark: SparkSession, folder: str) -> DataFrame:
+    return reports.risk_summary(_risk_store(Entities(spark, folder))["predictions"])
+
+
+@query
+def report_high_risk(spark: SparkSession, folder: str) -> DataFrame:
+    e = Entities(spark, folder)
+    return reports.high_risk_controls(_risk_store(e)["predictions"], e.systems)
+
+
+@query
+def risk_score_by_trees(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of all assessments from the forest's node table, by joins."""
+    store = _risk_store(Entities(spark, folder))
+    *before, _, _ = store["model"].stages
+    indexed = PipelineModel(before).transform(store["features"])
+    return forest.scores(indexed, forest.nodes(store["model"]), risk.FEATURES, ["assessment_id"])
+
+
+@query
+def risk_trees_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """One row: the trees walked by joins give the model's scores."""
+    walked = QUERIES["risk_score_by_trees"](spark, folder)
+    model = _risk_store(Entities(spark, folder))["predictions"]
+    # Assessments that repeat an id have their scores in the same order.
+    def listed(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy("assessment_id").agg(F.sort_array(F.collect_list("risk_score")).alias(name))
+
+    both = listed(walked, "a").join(listed(model, "b"), "assessment_id", "full")
+    apart = F.exists(F.arrays_zip("a", "b"), lambda s: F.abs(s["a"] - s["b"]) > 1e-9)
+    return both.agg(
+        F.sum(F.size("a")).cast("long").alias("assessments"),
+        F.every(F.coalesce((F.size("a") == F.size("b")) & ~apart, F.lit(False))).alias("equal"),
+    )
+
+
+@query
+def risk_score_checks(spark: SparkSession, folder: str) -> DataFrame:
     score = F.col("risk_score")
     level = (
         F.when(score >= 0.7, "High").when(score >= 0.4, "Medium").otherwise("Low")
@@ -484,7 +647,7 @@ def risk_score(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def risk_auc(spark: SparkSession, folder: str) -> DataFrame:
+def risk_auc_checks(spark: SparkSession, folder: str) -> DataFrame:
     store = _risk_store(Entities(spark, folder))
     _, test_rows = risk.train_test(store["features"])
     auc = risk.area_under_roc(store["model"], test_rows)
@@ -498,7 +661,7 @@ def risk_auc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def report_risk_summary(spark: SparkSession, folder: str) -> DataFrame:
+def report_risk_summary_checks(spark: SparkSession, folder: str) -> DataFrame:
     """One row: the report's counts add up and each average lies in its level."""
     report = reports.risk_summary(_risk_store(Entities(spark, folder))["predictions"])
     pct = F.col("avg_risk_pct")
@@ -515,7 +678,7 @@ def report_risk_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def report_high_risk(spark: SparkSession, folder: str) -> DataFrame:
+def report_high_risk_checks(spark: SparkSession, folder: str) -> DataFrame:
     """One row: the report lists the riskiest High predictions of known systems."""
     e = Entities(spark, folder)
     predictions = _risk_store(e)["predictions"]
@@ -632,20 +795,25 @@ def stream_silver_evidence(spark: SparkSession, folder: str) -> DataFrame:
     return _streamed_silver(spark, folder, "evidence", "evidence_id")
 
 
-# Places of the tables of an incremental run, by application and tables.
-_published: dict[tuple[str, str], dict[str, str]] = {}
+# Places of the tables of an incremental run, by the tables' files.
+_published: dict[tuple, dict[str, str]] = {}
 
 
-def _published_table(spark: SparkSession, folder: str, layer: str, table: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, folder)
+def _incremental_run(spark: SparkSession, folder: str) -> dict[str, str]:
+    key = _identity(spark, folder)
     if key not in _published:
         _published[key] = _run_incremental(spark, folder)
-    return spark.read.parquet(_published[key][f"{layer}.{table}"])
+    return _published[key]
+
+
+def _published_table(spark: SparkSession, folder: str, layer: str, table: str) -> DataFrame:
+    return spark.read.parquet(_incremental_run(spark, folder)[f"{layer}.{table}"])
 
 
 def _run_incremental(spark: SparkSession, folder: str) -> dict[str, str]:
-    """Files land twice, flow through bronze and silver, and everything built on
-    them is stored. Returns the tables' folders; the catalogue entries go."""
+    """Files land twice, flow through bronze and silver and into the rollups'
+    states, from which the business tables are stored. Returns the tables'
+    folders and the store; the catalogue entries go."""
     root = new_scratch_dir(spark, "stream-all")
     e = Entities(spark, folder)
     paths = {name: f"{root}/landing/{name}" for name in BRONZE}
@@ -658,11 +826,12 @@ def _run_incremental(spark: SparkSession, folder: str) -> dict[str, str]:
             land = landing.land_json if name == "evidence" else landing.land_csv
             land(parts[name][i], paths[name])
         incremental.advance(spark, paths, root)
+        live.update(spark, root)
     run = root.rsplit("-", 1)[1]
     databases = {layer: f"veritrail_{layer}_{run}" for layer in ("bronze", "silver", "gold")}
     layers = medallion.Layers(**databases, location=f"{root}/lake")
-    incremental.publish(spark, paths, root, AS_OF, layers)
-    places = {}
+    incremental.refresh(spark, paths, root, AS_OF, layers)
+    places = {"store": root}
     for layer, database in databases.items():
         for table in spark.catalog.listTables(database):
             detail = spark.sql(f"DESCRIBE EXTENDED {database}.{table.name}").collect()
@@ -695,3 +864,90 @@ for _name in (
 def stream_silver_controls(spark: SparkSession, folder: str) -> DataFrame:
     stored = _published_table(spark, folder, "silver", "controls")
     return ingest.without_audit(stored)
+
+
+@query
+def live_updates(spark: SparkSession, folder: str) -> DataFrame:
+    """What the rollups' states took in: a row per entity with the batches that
+    changed them, the rows these held, and the rows counted in the states after
+    every batch of silver came a second time."""
+    store = _incremental_run(spark, folder)["store"]
+    out = []
+    for entity in live.ENTITIES:
+        state = live.LiveState(spark, store, entity)
+        silver = BatchTable(spark, f"{store}/silver/{entity}")
+        for (batch,) in state.commits().select("batch").collect():
+            state.apply(silver.read(), batch)
+        held = state.read(next(iter(state.states))).agg(F.sum("n")).scalar()
+        out.append(
+            state.commits().agg(
+                F.lit(entity).alias("entity"),
+                F.count(F.lit(1)).alias("updates"),
+                F.sum("rows").alias("rows_taken"),
+                F.min(F.col("rows") > 0).alias("every_update_has_rows"),
+            ).withColumn("rows_in_state", held)
+        )
+    return out[0].unionByName(out[1])
+
+
+@query
+def stream_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows and failed expectations per table, from the manifests alone."""
+    store = _incremental_run(spark, folder)["store"]
+    out = []
+    for layer in ("bronze", "silver"):
+        for entity in incremental.STREAMED:
+            records = BatchTable(spark, f"{store}/{layer}/{entity}").records()
+            failed = F.aggregate(F.map_values("measures"), F.lit(0).cast("long"), lambda a, n: a + n)
+            out.append(
+                records.agg(
+                    F.lit(f"{layer}.{entity}").alias("table_name"),
+                    F.count_distinct("run").alias("runs"),
+                    F.sum("rows").alias("row_count"),
+                    F.sum(failed).alias("failures"),
+                )
+            )
+    return reduce(DataFrame.unionByName, out)
+
+
+@query
+def stream_evolving_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """Three deliveries by assessor, each with a header of its own: as the first
+    file, with columns in reverse, and with one column new and one missing."""
+    root = new_scratch_dir(spark, "stream-evolving")
+    source = f"{root}/landing"
+    rows = Entities(spark, folder).bronze("assessments")
+    turn = F.substring_index("assessor", "-", -1).cast("int")
+    late = rows.where(turn >= 5).drop("findings").withColumn("round", turn.cast("string"))
+    for part in (rows.where(turn <= 2), rows.where(turn.between(3, 4)).select(*rows.columns[::-1]), late):
+        landing.land_csv(part, source)
+        ingest.ingest_evolving_csv(spark, source, root, "assessments")
+    table = ingest.bronze_table(spark, root, "assessments")
+    return table.select(*rows.columns, F.to_json("_rescued").alias("rescued"))
+
+
+#: Expectations on evidence that some rows of the given tables fail.
+STRICT = {
+    "accepted": "status = 'Accepted'",
+    "reviewed": "review_timestamp IS NOT NULL",
+    "not_expired": "NOT is_expired",
+    "known_type": "evidence_type IN ('Screenshot', 'Audit Log', 'Policy Document')",
+}
+
+
+def _marked_evidence(spark: SparkSession, folder: str) -> DataFrame:
+    rows = quality.with_failure_bits(Entities(spark, folder).evidence, "evidence", STRICT)
+    return materialise(rows.select("evidence_id", "control_id", quality.BITS), "marked")
+
+
+@query
+def dq_bit_report(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.bit_report(_marked_evidence(spark, folder), "evidence", STRICT)
+
+
+@query
+def dq_failing_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Evidence that fails one of two expectations, by a test of its bits."""
+    rows = _marked_evidence(spark, folder)
+    found = quality.failing(rows, "evidence", "reviewed", "known_type", expectations=STRICT)
+    return found.select("evidence_id", "control_id", F.col(quality.BITS).alias("failed_bits"))

@@ -9,18 +9,19 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from veritrail.sources.audit import with_audit
 from veritrail.sources.readers import read_csv
 from veritrail.sources.schemas import text_schema
+from veritrail.streaming.manifest import BatchTable
+from veritrail.streaming.schema_log import SchemaLog, read_files
 
 
 # A run works through its backlog in batches of this many files, so a restart
@@ -85,27 +86,22 @@ def table_stream(
     schema: StructType | None = None,
     files_per_batch: int = FILES_PER_BATCH,
 ) -> DataFrame:
-    """Rows added to a Parquet table folder since the last run. ``files`` is a
-    file-name pattern that picks one table out of a shared folder."""
-    schema = schema or spark.read.parquet(path).schema
-    reader = _file_stream(spark, schema, files_per_batch)
+    """Rows added to a Parquet table folder since the last run, at any depth.
+    ``files`` is a file-name pattern that picks one table out of a shared folder."""
+    if schema is None:
+        schema = spark.read.option("recursiveFileLookup", True).parquet(path).schema
+    reader = _file_stream(spark, schema, files_per_batch).option("recursiveFileLookup", True)
     if files:
         reader = reader.option("pathGlobFilter", files)
     return reader.parquet(path)
 
 
-# Every stored row carries the id of the run that wrote it. What a run did is
-# counted over its stored rows: a stream's own progress keeps only its last
-# batches.
-RUN_COLUMN = "_run"
-
-
 @dataclass(frozen=True)
 class Run:
-    """A run that appends to the table at ``target``."""
+    """A run that appends to ``table``; what it did is in the table's manifest."""
 
     query: StreamingQuery
-    target: str
+    table: BatchTable
     run_id: str
 
     def wait(self, timeout: int | None = None) -> Run:
@@ -115,42 +111,51 @@ class Run:
             self.query.awaitTermination()
         elif not self.query.awaitTermination(timeout):
             self.query.stop()
-            raise TimeoutError(f"ingestion into {self.target} did not finish in {timeout} s")
+            raise TimeoutError(f"ingestion into {self.table.root} did not finish in {timeout} s")
         return self
 
     def rows(self) -> DataFrame | None:
-        """The rows that this run stored; None before the table's first batch."""
-        try:
-            stored = SparkSession.active().read.parquet(self.target)
-        except AnalysisException as error:
-            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
-            return None
-        return stored.where(F.col(RUN_COLUMN) == self.run_id)
-
-
-def start_append(stream: DataFrame, target: str, checkpoint: str) -> Run:
-    """Start appending everything available now to the Parquet table at ``target``."""
-    run_id = uuid.uuid4().hex
+        """The rows that this run stored; None if there are none."""
+        return self.table.read(self.run_id)
+
+    def counted(self) -> tuple[int, dict[str, int]]:
+        return self.table.counted(self.run_id)
+
+
+def start_append(
+    stream: DataFrame,
+    target: str,
+    checkpoint: str,
+    *,
+    measures: Sequence[Column] = (),
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+) -> Run:
+    """Start appending everything available now to the table at ``target``.
+    ``prepare`` turns a batch into the rows to store; ``measures`` are counted
+    over these and kept in the manifest."""
+    table, run_id = BatchTable(stream.sparkSession, target), uuid.uuid4().hex
+    table.prepare()
+
+    def store(batch: DataFrame, number: int) -> None:
+        table.write(prepare(batch) if prepare else batch, number, run_id, measures)
+
     query = (
-        stream.withColumn(RUN_COLUMN, F.lit(run_id))
-        .writeStream.format("parquet")
+        stream.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(target)
+        .start()
     )
-    return Run(query, target, run_id)
+    return Run(query, table, run_id)
 
 
 def append_available(
-    stream: DataFrame, target: str, checkpoint: str, *, timeout: int | None = None
+    stream: DataFrame, target: str, checkpoint: str, *, timeout: int | None = None, **options
 ) -> Run:
-    return start_append(stream, target, checkpoint).wait(timeout)
+    return start_append(stream, target, checkpoint, **options).wait(timeout)
 
 
 def rows_read(run: Run) -> int:
-    rows = run.rows()
-    return rows.count() if rows is not None else 0
+    return run.counted()[0]
 
 
 def ingest_csv(
@@ -184,8 +189,51 @@ def start_json(
     )
 
 
-def bronze_table(spark: SparkSession, store: str, entity: str) -> DataFrame:
-    return spark.read.parquet(f"{store}/bronze/{entity}")
+_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+
+
+def start_evolving_csv(
+    spark: SparkSession,
+    landing: str,
+    store: str,
+    entity: str,
+    *,
+    files_per_batch: int = FILES_PER_BATCH,
+) -> Run:
+    """Like :func:`start_csv`, but every file is read by its own header against
+    the entity's schema log, so a file with moved, new or missing columns does
+    not stop the stream."""
+    log = SchemaLog(spark, f"{store}/schema_log/{entity}")
+    # Only the files' names are read here.
+    names = (
+        spark.readStream.format("binaryFile")
+        .schema(_FILE_SCHEMA)
+        .option("pathGlobFilter", "*.csv")
+        .option("maxFilesPerTrigger", files_per_batch)
+        .load(landing)
+        .select("path")
+    )
+    return start_append(
+        names,
+        f"{store}/bronze/{entity}",
+        f"{store}/checkpoints/bronze_{entity}",
+        prepare=lambda batch: read_files(spark, [r[0] for r in batch.collect()], log),
+    )
+
+
+def ingest_evolving_csv(
+    spark: SparkSession, landing: str, store: str, entity: str, **options
+) -> Run:
+    return start_evolving_csv(spark, landing, store, entity, **options).wait()
+
+
+def bronze_table(
+    spark: SparkSession, store: str, entity: str, *, evolving: bool = False
+) -> DataFrame:
+    """The stored batches. With ``evolving`` columns that a later schema version
+    added are there too, null in the rows from before."""
+    table = BatchTable(spark, f"{store}/bronze/{entity}")
+    return table.read(merge_schema=evolving)
 
 
 def without_audit(df: DataFrame) -> DataFrame:

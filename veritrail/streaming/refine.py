@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from veritrail.operators import quality
 from veritrail.operators import silver as s
 from veritrail.streaming import ingest
+from veritrail.streaming.manifest import BatchTable
 
 # Review wait is called days_to_review in the incremental tables.
 WAIT_COLUMN = "days_to_review"
@@ -31,28 +32,39 @@ DATERS = {
 
 
 def start_refine(spark: SparkSession, store: str, entity: str) -> ingest.Run:
-    raw = ingest.table_stream(spark, f"{store}/bronze/{entity}").drop(ingest.RUN_COLUMN)
+    raw = ingest.table_stream(spark, f"{store}/bronze/{entity}")
+    cleaned = quality.with_failure_bits(CLEANERS[entity](raw), entity)
     return ingest.start_append(
-        CLEANERS[entity](raw), f"{store}/silver/{entity}", f"{store}/checkpoints/silver_{entity}"
+        cleaned,
+        f"{store}/silver/{entity}",
+        f"{store}/checkpoints/silver_{entity}",
+        measures=quality.bit_metrics(entity),
     )
 
 
 def refine(spark: SparkSession, store: str, entity: str) -> ingest.Run:
     """Clean the bronze rows that are new and append them to silver. No row is
-    dropped; :func:`failed_expectations` counts what fails."""
+    dropped: what it fails is marked in its bits and counted in the manifest."""
     return start_refine(spark, store, entity).wait()
 
 
 def failed_expectations(run: ingest.Run, entity: str) -> dict[str, int]:
-    """Failures per expectation over all rows that the run stored."""
-    rows = run.rows()
-    metrics = quality.write_metrics(entity)
-    if rows is None:
-        return {}
-    return {name: n or 0 for name, n in rows.agg(*metrics).head().asDict().items()}
+    """Failures per expectation over all rows that the run stored, from the
+    manifest alone."""
+    _, measures = run.counted()
+    return {k: n for k, n in measures.items() if k.startswith("failed_")}
+
+
+def failing_rows(
+    spark: SparkSession, store: str, entity: str, *names: str, run: str | None = None
+) -> DataFrame:
+    """Stored silver rows, of all runs or one, that fail any of the expectations
+    ``names`` (none named: any at all)."""
+    stored = BatchTable(spark, f"{store}/silver/{entity}").read(run)
+    return quality.failing(stored, entity, *names)
 
 
 def silver_table(spark: SparkSession, store: str, entity: str, as_of: dt.date) -> DataFrame:
     """Snapshot of the streamed silver table with its day columns at ``as_of``."""
-    stored = spark.read.parquet(f"{store}/silver/{entity}").drop(ingest.RUN_COLUMN)
+    stored = BatchTable(spark, f"{store}/silver/{entity}").read().drop(quality.BITS)
     return DATERS[entity](stored, as_of)
