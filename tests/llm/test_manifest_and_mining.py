@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from veritrail.llm import cost_packing, hard_negatives, merkle, queries
+from veritrail.llm.byte_bpe import words_of
 
 # Packing
 
@@ -103,6 +104,13 @@ def test_every_id_is_packed_once(spark):
     check_packed(cost_packing.pack_documents(frame.repartition(5), BPE, 64).collect(), texts, 64)
 
 
+@pytest.mark.parametrize(
+    "text", ["", " ", "a b", " a b ", "a  b", "a \nb", "a\n b", "a\u3000 b", "a\tb c", "a\xa0b c"]
+)
+def test_texts_are_cut_where_no_match_crosses(text):
+    assert cost_packing.cut(text) == words_of(text)
+
+
 def test_packing_of_repeated_rows_and_empty_tables(spark):
     rows = [(5, "a b c d e"), (5, "a b c d e"), (None, "f"), (None, None)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
