@@ -105,7 +105,7 @@ def test_strength_is_the_share_of_information(spark):
     texts = revealing_corpus()
     docs = documents(spark, texts)
     found = pii.entities(docs)
-    got = pii.disclosing_terms(docs, found, generalise=-10).collect()
+    got = pii.disclosing_terms(docs, found, generalise=-10, evidence=None).collect()
     from math import log
 
     n, n_e = len(texts), 5
@@ -117,6 +117,84 @@ def test_strength_is_the_share_of_information(spark):
     assert {r.term for r in got} >= {"zephyr", "about"}
 
 
+def secret_letters():
+    """Six letters each whose name opens the text, closes it, stands far from the
+    address, or beside it; then one with the name alone; short and mixed names."""
+    pick = random.Random(8)
+    common = [f"word{chr(97 + i)}" for i in range(26)]
+
+    def talk(n):
+        return " ".join(pick.choices(common, k=n))
+
+    texts = [f"Marlowe {talk(9)} open@one.example" for _ in range(6)]
+    texts += [f"close@two.example {talk(9)} Quixley" for _ in range(6)]
+    texts += [f"{talk(4)} far@three.example {talk(60)} Ostrander {talk(4)}" for _ in range(6)]
+    texts += [f"{talk(5)} 10.20.30.40 Zed {talk(5)}" for _ in range(6)]
+    texts += [f"{talk(5)} user_x7q2 {talk(5)} +1 (724) 555-7058" for _ in range(6)]
+    texts += [f"李明 {talk(8)} li@four.example" for _ in range(6)]
+    alone = len(texts)
+    texts += [f"{talk(5)} Ostrander {talk(5)}"]
+    texts += [f"{talk(15)}" for _ in range(120)]
+    return texts, alone
+
+
+def test_names_are_found_wherever_they_stand(spark):
+    texts, alone = secret_letters()
+    rows = {r.doc_id: r for r in pii.annotate(documents(spark, texts)).collect()}
+    names = {0: "Marlowe", 6: "Quixley", 12: "Ostrander", 18: "Zed", 24: "x7q2", 30: "李明"}
+    for first, name in names.items():
+        for i in range(first, first + 6):
+            places = [(s.start, s.end) for s in rows[i].spans if s.kind == "term" and s.value == name]
+            want = [m.span() for m in re.finditer(name, texts[i])]
+            assert places == want and len(want) == 1, texts[i]
+    # The name without the address is marked too; all other words are left.
+    assert [s.value for s in rows[alone].spans] == ["Ostrander"]
+    marked = {s.value for r in rows.values() for s in r.spans if s.kind == "term"}
+    assert marked <= {*names.values(), "user"}
+    clean = {r.doc_id: r.text for r in pii.sanitise(pii.annotate(documents(spark, texts))).collect()}
+    assert not any(n in clean[i] for i, n in enumerate(["Marlowe"] * 6))
+    assert all(clean[i] == texts[i] for i in range(alone + 1, len(texts)))
+
+
+def test_repeated_rows_count_alike_in_all_counts(spark):
+    texts, _ = secret_letters()
+    rows = documents(spark, texts)
+    once = {r.doc_id: r.spans for r in pii.annotate(rows).collect()}
+    twice = pii.annotate(rows.union(rows)).collect()
+    assert len(twice) == 2 * len(texts)
+    assert all([s.value for s in r.spans] == [s.value for s in once[r.doc_id]] for r in twice)
+
+
+def test_a_common_entity_makes_no_terms_by_chance(spark):
+    """An address in a third of all texts and many words of three texts."""
+    pick = random.Random(3)
+    texts = [f"rare{chr(97 + i // 3 % 26)}{i // 78} say it" for i in range(900)]
+    texts = [f"{t} all@corp.example" if pick.random() < 0.35 else t for t in texts]
+    rows = pii.annotate(documents(spark, texts)).collect()
+    assert not any(s.kind == "term" for r in rows for s in r.spans)
+
+
+def test_columns_of_any_name_pass_through(spark):
+    texts, _ = secret_letters()
+    names = ["_id", "_hash", "_key", "_terms", "_terms_", "_removed", "_email", "_ip", "_card",
+             "_phone", "key", "term", "entity", "copies", "n_e", "terms", "removed", "text_"]
+    rows = documents(spark, texts).select("*", *(F.lit(n).alias(n) for n in names))
+    got = pii.annotate(rows)
+    assert sorted(got.columns) == sorted(rows.columns)
+    for r in got.collect():
+        assert all(r[n] == n for n in names if n != "_removed") and r.other == "x"
+    clean = pii.sanitise(got)
+    assert sorted(clean.columns) == sorted(c for c in rows.columns if c not in ("spans", "_removed"))
+    assert clean.count() == len(texts)
+
+
+def test_a_text_with_very_many_spans(spark):
+    text = "".join(f"é{i} a{i}@b.example, " for i in range(30_000))
+    marked = pii.annotate(documents(spark, [text, "plain"]))
+    got = {r.doc_id: r.text for r in pii.sanitise(marked).collect()}
+    assert got == {0: "".join(f"é{i} [EMAIL], " for i in range(30_000)), 1: "plain"}
+
+
 def test_copies_give_a_term_no_support(spark):
     texts = ["only me@here.example with quux"] * 6 + [f"filler {i}" for i in range(30)]
     rows = pii.annotate(documents(spark, texts)).collect()

@@ -1,25 +1,33 @@
 """Personal data: information-theoretic sanitisation, in DataFrame functions.
 
-Fixed patterns find the protected entities (email, ip, card, phone). Words near
-an entity are counted together with it over the corpus. A word t discloses an
-entity e by its pointwise mutual information in proportion to the entity's own
-information:
+Fixed patterns find the protected entities (email, ip, card, phone). The words
+of a document are counted together with its entities over the corpus. A word t
+discloses an entity e by its pointwise mutual information in proportion to the
+entity's own information:
 
-    strength(e, t) = log(N n(e,t) / (n(e) n(t))) / log(N / n(e))
+    pmi(e, t) = log(N n(e,t) / (n(e) n(t)))        strength = pmi / log(N / n(e))
 
-with N documents, n(e) and n(t) those that hold the entity or the word, n(e,t)
-those where they stand near each other. It is 1 when the word never occurs
-without the entity. Words from GENERALISE on are spans of kind ``term`` in
-every document that holds the entity; from REMOVE on they are cut out, below
-that replaced by a general word, as the entities are by their kind. A word
-needs SUPPORT different texts, so that chance neighbours in one text, however
-often it is copied, say nothing.
+with N documents, n(e) and n(t) those that hold the entity or the word and
+n(e,t) those that hold both, wherever in the text they stand. Every row is a
+document in all four counts. Strength is 1 when the word never occurs without
+the entity. Words from GENERALISE on are spans of kind ``term`` in every
+document that has them, with the entity or without; from REMOVE on they are cut
+out, below that replaced by a general word, as the entities are by their kind.
+
+Two things keep chance out. A word needs SUPPORT different texts with the
+entity, however often one is copied. And n(e,t) * pmi must reach EVIDENCE *
+log(N): the odds that a word's documents fall among the entity's by luck are
+then below N ** -EVIDENCE, also for an entity that a third of all documents
+hold. Near copies are different texts: remove them first.
+
+A word is a run of letters and digits with a letter in it, of two characters or
+more; runs inside an email address are part of the address.
 
 Positions are code points, ends exclusive. Defined results: a null text has no
 spans; spans of a kind never overlap; a failing match is dropped and its text
-not tried again; repeated rows each get the same spans; null ids are a value
-like any other; an empty table gives an empty result; other columns pass
-through, but ``spans`` is replaced.
+not tried again; repeated rows each get the same spans; ids are not read; an
+empty table gives an empty result; other columns pass through whatever their
+names, but ``spans`` and ``_removed`` are replaced.
 """
 
 from __future__ import annotations
@@ -50,31 +58,39 @@ _PART = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 CARD_DIGITS = (13, 19)
 PHONE_DIGITS = (9, 15)
 
-#: Code points on either side of an entity whose words count as near it.
-NEAR = 64
 SUPPORT = 3
+EVIDENCE = 2.0
 GENERALISE = 0.8
 REMOVE = 1.0
 BROADCAST_BYTES = 16 << 20
 _SPAN = "struct<kind:string,start:bigint,end:bigint,value:string>"
 _BLOCK = 256
 _ALNUM = r"\p{L}\p{N}"
-_WORD = r"\p{L}{3,}+"
+_WORD = rf"[{_ALNUM}]{{2,}}+"
+
+
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, also where lambdas use it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def in_blocks(values: Column) -> Column:
+    """An array cut into arrays of _BLOCK."""
+    last = F.floor((F.size(values) - 1) / _BLOCK).cast("int")
+    return F.when(F.size(values) > 0, F.transform(
+        F.sequence(F.lit(0), last), lambda b: F.slice(values, b * _BLOCK + 1, _BLOCK)
+    )).otherwise(F.array(F.slice(values, 1, 0)))
 
 
 def running_sums(values: Column) -> Column:
     """Running totals of an array of long. Arrays grow by copying, so they are
     built a block at a time."""
+    return bound(values, lambda v: _running_sums(in_blocks(v)))
+
+
+def _running_sums(blocks: Column) -> Column:
     none = F.array().cast("array<bigint>")
     zero = F.lit(0).cast("bigint")
-    count = F.size(values)
-    blocks = F.when(
-        count > 0,
-        F.transform(
-            F.sequence(F.lit(0), F.floor((count - 1) / _BLOCK).cast("int")),
-            lambda b: F.slice(values, b * _BLOCK + 1, _BLOCK),
-        ),
-    ).otherwise(F.array().cast("array<array<bigint>>"))
 
     def block(total: Column, own: Column) -> Column:
         return F.aggregate(
@@ -153,187 +169,243 @@ def base_spans(text: Column, kind: str) -> Column:
     return F.when(_HINTS[kind](text), spans).otherwise(F.array()).cast(f"array<{_SPAN}>")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def with_base_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``spans`` of the fixed kinds, by kind, then place."""
     source = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    for kind in PATTERNS:
-        docs = docs.withColumn(f"_{kind}", base_spans(source, kind))
-    return docs.withColumn("spans", F.concat(*(f"_{k}" for k in PATTERNS))).drop(
-        *(f"_{k}" for k in PATTERNS)
-    )
+    return docs.withColumn("spans", F.concat(*(base_spans(source, kind) for kind in PATTERNS)))
 
 
-def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Adds the key of a row's spans: its id and its text."""
-    return docs.withColumns(
-        {
-            "_id": F.coalesce(F.col(doc_id).cast("string"), F.lit("null")),
-            "_hash": F.xxhash64(F.col(text).cast("string")),
-        }
-    )
+def words(text: Column) -> Column:
+    """The different words of a text, in lower case."""
+    plain = F.when(
+        F.contains(text, F.lit("@")), F.regexp_replace(text, PATTERNS["email"], " ")
+    ).otherwise(text)
+    found = F.array_distinct(F.regexp_extract_all(F.lower(plain), F.lit(_WORD), F.lit(0)))
+    return F.filter(found, lambda w: w.rlike(r"\p{L}"))
 
 
-def _near(text: Column, start: Column, end: Column) -> Column:
-    """Whole words, in lower case, within NEAR code points of a span."""
-    first = F.greatest(start - NEAR, F.lit(0))
-    left = F.lower(F.substring(text, first + 1, start - first))
-    right = F.lower(F.substring(text, end + 1, F.lit(NEAR)))
-    # A word that the border may have cut has no neighbour on that side.
-    before = F.regexp_extract_all(left, F.lit(rf"(?<=[^{_ALNUM}]){_WORD}(?![{_ALNUM}])"), F.lit(0))
-    after = F.regexp_extract_all(right, F.lit(rf"(?<![{_ALNUM}]){_WORD}(?=[^{_ALNUM}])"), F.lit(0))
-    return F.array_union(before, after)
+def _texts(docs: DataFrame, text: str) -> DataFrame:
+    """(text, key) of every row that has a text."""
+    source = F.col(f"`{text}`").cast("string")
+    rows = docs.select(source.alias("text")).where("text is not null")
+    return rows.withColumn("key", F.xxhash64("text"))
 
 
-def entities(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(_id, _hash, entity, near) of every span of the corpus."""
-    source = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    rows = keyed(docs.select(doc_id, text), doc_id, text).withColumn("_source", source)
-    found = with_base_spans(rows, text).where(F.size("spans") > 0)
-    return found.select("_id", "_hash", "_source", F.explode("spans").alias("s")).select(
-        "_id",
-        "_hash",
-        F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity"),
-        _near(F.col("_source"), F.col("s.start"), F.col("s.end")).alias("near"),
+def entities(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(key, entity, copies): the entities of every different text, and the
+    number of rows with that text."""
+    found = with_base_spans(_texts(docs, text)).where(F.size("spans") > 0)
+    named = F.transform(
+        "spans", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"]))
+    )
+    return (
+        found.select("key", F.explode(F.array_distinct(named)).alias("entity"))
+        .groupBy("key", "entity")
+        .agg(F.count(F.lit(1)).alias("copies"))
     )
 
 
+def _joined(rows: DataFrame, small: DataFrame, on: str, how: str, width: int) -> DataFrame:
+    """A join whose right side is broadcast if its counted size allows it."""
+    fits = small.count() * width <= BROADCAST_BYTES
+    return rows.join(F.broadcast(small) if fits else small, on, how)
+
+
 def disclosing_terms(
     docs: DataFrame,
     found: DataFrame,
     text: str = "text",
     support: int = SUPPORT,
     generalise: float = GENERALISE,
+    evidence: float | None = EVIDENCE,
 ) -> DataFrame:
     """(entity, term, strength) of the words that reveal an entity.
 
-    The words of every document are counted, but only those that have support
-    near an entity are shuffled.
+    Only entities with support are looked at, and only words with support in
+    their documents are counted over the corpus.
     """
-    pairs = found.select("_id", "_hash", "entity", F.explode("near").alias("term")).distinct()
-    together = (
-        pairs.groupBy("entity", "term")
-        .agg(F.count(F.lit(1)).alias("n_et"), F.count_distinct("_hash").alias("texts"))
+    rows = _texts(docs, text)
+    total = F.lit(float(docs.count()))
+    known = (
+        found.groupBy("entity")
+        .agg(F.sum("copies").alias("n_e"), F.count(F.lit(1)).alias("texts"))
         .where(F.col("texts") >= support)
+        .drop("texts")
     )
-    holds = found.select("_id", "_hash", "entity").distinct()
-    per_entity = holds.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    total = F.lit(float(docs.count()))
+    held = materialise(found.join(known, "entity"), "held-entities")
 
-    def strength(n_t: str) -> Column:
-        ratio = F.log(total * F.col("n_et") / F.col("n_e") / F.col(n_t))
-        return ratio / F.nullif(F.log(total / F.col("n_e")), F.lit(0.0))
+    def pmi(n_t: str) -> Column:
+        return F.log(total * F.col("n_et") / F.col("n_e") / F.col(n_t))
 
-    # A word stands in at least the documents that have it near some entity.
-    # What is too weak even if there are no others needs no count over the corpus.
-    nearby = (
-        pairs.select("_id", "_hash", "term")
+    def strength(n_t: str) -> Column:
+        return pmi(n_t) / F.nullif(F.log(total / F.col("n_e")), F.lit(0.0))
+
+    def strong(n_t: str) -> Column:
+        enough = strength(n_t) >= generalise
+        if evidence is not None:
+            enough &= F.col("n_et") * pmi(n_t) >= evidence * F.log(total)
+        return enough
+
+    copies = materialise(held.groupBy("key").agg(F.max("copies").alias("copies")), "held-texts")
+    spoken = (
+        _joined(rows, copies.select("key"), "key", "left_semi", 16)
+        .select("key", F.explode(words(F.col("text"))).alias("term"))
         .distinct()
+    )
+    spoken = materialise(spoken, "held-words")
+    # A word stands in at least the documents that hold some entity. What is
+    # too weak even if there are no others needs no count over the corpus.
+    nearby = (
+        spoken.join(copies, "key")
         .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("n_near"))
+        .agg(F.sum("copies").alias("n_near"), F.count(F.lit(1)).alias("texts"))
+        .where(F.col("texts") >= support)
+        .drop("texts")
     )
-    together = materialise(
-        together.join(per_entity, "entity")
-        .join(nearby, "term")
-        .where(strength("n_near") >= generalise)
-        .drop("n_near"),
-        "near-terms",
+    reach = F.col("n_e") * F.pow(total / F.col("n_e"), F.lit(1.0 - generalise))
+    together = (
+        spoken.join(materialise(nearby, "near-words"), "term")
+        .join(held, "key")
+        .where(F.col("n_near") <= reach * (1 + 1e-9))
+        .groupBy("entity", "term", "n_e", "n_near")
+        .agg(F.sum("copies").alias("n_et"), F.count(F.lit(1)).alias("texts"))
+        .where((F.col("texts") >= support) & strong("n_near"))
     )
-    terms = together.select("term").distinct()
-    size = terms.agg(F.coalesce(F.sum(F.octet_length("term") + 32), F.lit(0))).head()[0]
-    if not size:
+    together = materialise(together.select("entity", "term", "n_e", "n_et"), "near-terms")
+    terms = materialise(together.select("term").distinct(), "candidates")
+    if not terms.take(1):
         return together.select("entity", "term", F.lit(1.0).alias("strength"))
-    whole = F.lit(rf"(?<![{_ALNUM}]){_WORD}(?![{_ALNUM}])")
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), whole, F.lit(0)))
+    size = terms.agg(F.sum(F.octet_length("term") + 32)).head()[0]
     per_term = (
-        docs.select(F.explode(words).alias("term"))
+        rows.select(F.explode(words(F.col("text"))).alias("term"))
         .join(F.broadcast(terms) if size <= BROADCAST_BYTES else terms, "term", "left_semi")
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("n_t"))
     )
-    scored = together.join(per_term, "term").withColumn("strength", strength("n_t"))
-    return scored.where(F.col("strength") >= generalise).select("entity", "term", "strength")
+    scored = together.join(per_term, "term").where(strong("n_t"))
+    return scored.select("entity", "term", strength("n_t").alias("strength"))
 
 
-def document_terms(found: DataFrame, terms: DataFrame, remove: float = REMOVE) -> DataFrame:
-    """(_id, _hash, terms, removed): words to sanitise in each document."""
-    held = found.select("_id", "_hash", "entity").distinct()
-    cut = F.col("strength") >= remove - 1e-9
+def document_terms(
+    docs: DataFrame, terms: DataFrame, text: str = "text", remove: float = REMOVE
+) -> DataFrame:
+    """(key, terms, removed): words to sanitise in every text that has some. A
+    word that is to be cut out for one entity is cut out for all."""
+    cut = F.max(F.col("strength") >= remove - 1e-9)
+    judged = materialise(terms.groupBy("term").agg(cut.alias("cut")), "judged-terms")
+    found = _texts(docs, text).select("key", F.explode(words(F.col("text"))).alias("term"))
     return (
-        held.join(terms, "entity")
-        .groupBy("_id", "_hash")
+        _joined(found, judged, "term", "inner", 96)
+        .groupBy("key")
         .agg(
-            F.collect_set("term").alias("_terms"),
-            F.collect_set(F.when(cut, F.col("term"))).alias("_removed"),
+            F.collect_set("term").alias("terms"),
+            F.collect_set(F.when(F.col("cut"), F.col("term"))).alias("removed"),
         )
     )
 
 
-def annotate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def annotate(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``spans`` (kind, start, end, value): the fixed kinds, then
     the disclosing terms; and ``_removed``, the terms to cut out."""
-    found = materialise(entities(docs, doc_id, text), "entities")
+    found = materialise(entities(docs, text), "entities")
     terms = materialise(disclosing_terms(docs, found, text), "terms")
-    marked = materialise(document_terms(found, terms), "document-terms")
-    size = marked.agg(
-        F.coalesce(F.sum(F.octet_length(F.array_join("_terms", " ")) * 2 + 96), F.lit(0))
-    ).head()[0]
-    rows = keyed(docs.drop("spans"), doc_id, text)
-    if size:
-        rows = rows.join(
-            F.broadcast(marked) if size <= BROADCAST_BYTES else marked, ["_id", "_hash"], "left"
+    rows = docs.drop("spans", "_removed")
+    key, own = fresh(docs, "_key", "_terms")
+    none = F.lit(None).cast("array<string>")
+    if terms.take(1):
+        marked = document_terms(docs, terms, text).select(
+            F.col("key").alias(key), F.col("terms").alias(own), F.col("removed").alias("_removed")
+        )
+        marked = materialise(marked, "document-terms")
+        size = marked.agg(
+            F.coalesce(F.sum(F.octet_length(F.array_join(own, " ")) * 2 + 96), F.lit(0))
+        ).head()[0]
+        small = size <= BROADCAST_BYTES
+        rows = rows.withColumn(key, F.xxhash64(F.col(f"`{text}`").cast("string"))).join(
+            F.broadcast(marked) if small else marked, key, "left"
         )
     else:
-        none = F.lit(None).cast("array<string>")
-        rows = rows.withColumn("_terms", none).withColumn("_removed", none)
+        rows = rows.withColumn(key, F.lit(0)).withColumn(own, none).withColumn("_removed", none)
     pattern = F.concat(
         F.lit(rf"(?iu)(?<![{_ALNUM}])(?:"),
-        F.array_join("_terms", "|"),
+        F.array_join(own, "|"),
         F.lit(rf")(?![{_ALNUM}])"),
     )
-    own = F.when(
-        F.size("_terms") > 0, located(F.col(text).cast("string"), pattern, "term")
+    term_spans = F.when(
+        F.size(own) > 0, located(F.col(f"`{text}`").cast("string"), pattern, "term")
     ).otherwise(F.array())
     return (
-        with_base_spans(rows, text)
-        .withColumn("spans", F.concat("spans", own.cast(f"array<{_SPAN}>")))
-        .drop("_id", "_hash", "_terms")
+        with_base_spans(rows, f"`{text}`")
+        .withColumn("spans", F.concat("spans", term_spans.cast(f"array<{_SPAN}>")))
+        .drop(key, own)
     )
 
 
-def sanitise(annotated: DataFrame, text: str = "text") -> DataFrame:
-    """Replaces the spans in ``text``; of overlapping ones the first names the
-    whole stretch."""
-    source = F.col(text)
-    removed = F.coalesce(F.col("_removed"), F.array().cast("array<string>"))
-
-    def shown(s: Column) -> Column:
-        cut = (s["kind"] == "term") & F.array_contains(removed, F.lower(s["value"]))
-        return F.when(cut, F.lit("")).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
+def _replaced(part: Column, at: Column, spans: Column, shown) -> Column:
+    """``part``, which begins at code point ``at``, with its spans replaced; of
+    overlapping ones the first names the whole stretch."""
 
     def step(a: Column, s: Column) -> Column:
-        fresh = s["start"] >= a["at"]
-        kept = F.substring(source, a["at"] + 1, s["start"] - a["at"])
+        new = s["start"] >= a["at"]
+        kept = F.substring(part, a["at"] - at + 1, s["start"] - a["at"])
         return F.struct(
             F.greatest(a["at"], s["end"]).alias("at"),
-            F.when(fresh, F.concat(a["parts"], F.array(kept, shown(s))))
+            F.when(new, F.concat(a["parts"], F.array(kept, shown(s))))
             .otherwise(a["parts"])
             .alias("parts"),
         )
 
+    start = F.struct(at.alias("at"), F.array().cast("array<string>").alias("parts"))
+    return F.aggregate(spans, start, step, lambda a: F.array_join(a["parts"], ""))
+
+
+def sanitise(annotated: DataFrame, text: str = "text") -> DataFrame:
+    """Replaces the spans in ``text``. Spans are taken a block at a time, each
+    on its own stretch of the text: arrays grow by copying and a place in a
+    string is found by reading up to it."""
+    source = F.col(f"`{text}`")
+    removed = F.coalesce(F.col("_removed"), F.array().cast("array<string>"))
+
+    def shown(s: Column) -> Column:
+        cut = (s["kind"] == "term") & F.array_contains(removed, F.lower(s["value"]))
+        return F.when(cut, F.lit("")).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
+
     ordered = F.sort_array(
-        F.transform(
-            "spans", lambda s: F.struct(s["start"], s["end"], s["kind"], s["value"])
-        )
+        F.transform("spans", lambda s: F.struct(s["start"], s["end"], s["kind"], s["value"]))
     )
+
+    def step(a: Column, block: Column) -> Column:
+        ends = F.array_max(F.transform(block, lambda s: s["end"]))
+        end = F.greatest(a["at"], ends)
+        long = end - a["at"]
+        part = F.substring(a["rest"], F.lit(1), long)
+        return F.struct(
+            end.alias("at"),
+            F.substring(a["rest"], long + 1, F.length(a["rest"])).alias("rest"),
+            F.concat(a["done"], F.array(_replaced(part, a["at"], block, shown))).alias("done"),
+        )
+
     start = F.struct(
-        F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("parts")
+        F.lit(0).cast("bigint").alias("at"),
+        source.cast("string").alias("rest"),
+        F.array().cast("array<string>").alias("done"),
     )
-    replaced = F.aggregate(
+    replaced = bound(
         ordered,
-        start,
-        step,
-        lambda a: F.concat(
-            F.array_join(a["parts"], ""), F.substring(source, a["at"] + 1, F.length(source))
+        lambda spans: F.aggregate(
+            in_blocks(spans), start, step, lambda a: F.concat(F.array_join(a["done"], ""), a["rest"])
         ),
     )
     return annotated.withColumn(
