@@ -33,27 +33,27 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of each group that has the smallest doc_id; of rows
-    that repeat this id, the one whose text sorts first. Rows without an id
-    are no duplicates of others."""
-    docs = docs.select(*COLUMNS)
-    groups = minhash.near_duplicates(docs).where("doc_id is not null")
-    ids = materialise(
-        groups.groupBy("doc_id").agg(F.min("kept").alias("kept"), F.count(F.lit(1)).alias("rows")),
-        "kept-ids",
+    """Keeps one row of each group of similar texts: that of the smallest doc_id,
+    one without an id only if none has one. Every row counts by its own text, so
+    different texts under one id all stay, and copies without an id go."""
+    rows = docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row"))
+    rows = materialise(rows, "numbered")
+    groups = materialise(minhash.near_duplicates(rows, doc_id="_row"), "groups")
+    shared = groups.where("doc_id <> component_id").select("component_id").distinct()
+    members = (
+        groups.join(shared, "component_id", "left_semi")
+        .select(F.col("doc_id").alias("_row"), "component_id")
+        .join(rows.select("_row", "doc_id"), "_row")
     )
-    gone = ids.where("not kept or rows > 1").select("doc_id")
-    small = gone.count() * 8 <= BROADCAST_BYTES
-    left = docs.join(F.broadcast(gone) if small else gone, "doc_id", "left_anti")
-    repeated = ids.where("kept and rows > 1").select("doc_id")
-    if not repeated.take(1):
-        return left
-    first = (
-        docs.join(repeated, "doc_id", "left_semi")
-        .groupBy("doc_id")
-        .agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("row"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
+    first = materialise(
+        members.groupBy("component_id").agg(F.min(order)["_row"].alias("_first")), "kept-rows"
+    )
+    gone = materialise(
+        members.join(first, "component_id").where("_row <> _first").select("_row"), "gone-rows"
     )
-    return left.union(first.select("doc_id", "row.*"))
+    small = gone.count() * 8 <= BROADCAST_BYTES
+    return rows.join(F.broadcast(gone) if small else gone, "_row", "left_anti").select(*COLUMNS)
 
 
 def sanitise_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
