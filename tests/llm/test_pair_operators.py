@@ -294,6 +294,40 @@ def test_few_and_no_candidates(spark):
     assert nn_descent.nearest(frame.where("vec_id = 0"), every=1).collect() == []
 
 
+@pytest.mark.parametrize("rare", [False, True])
+def test_every_length_is_indexed(spark, monkeypatch, rare):
+    """Lengths with pivots, large and small ones without, a single vector."""
+    if rare:
+        pick = nn_descent._pivots
+        only = lambda *a: [s for s in pick(*a) if len(s[1]) == 4 * 16]
+        monkeypatch.setattr(nn_descent, "_pivots", only)
+    numbers = np.random.default_rng(12)
+    sizes = [16] * 300 + [8] * 100 + [5] * 200 + [3] * 2 + [1] * 2 + [2]
+    rows = [(10 * i, numbers.normal(size=n).tolist()) for i, n in enumerate(sizes)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got: dict = {}
+    for r in nn_descent.nearest(frame, every=50).collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    hits, wanted = 0, 0
+    for i, v in rows:
+        if i % 50:
+            continue
+        unit = np.array(v) / np.linalg.norm(v)
+        near = sorted(
+            (-float(unit @ (np.array(w) / np.linalg.norm(w))), j)
+            for j, w in rows
+            if j != i and len(w) == len(v)
+        )[:5]
+        own = got.get(i, [])
+        assert len(own) == len(near)
+        for (j, score), (best, _) in zip(own, near):
+            assert len(rows[j // 10][1]) == len(v) and score <= -best + 1e-9
+        hits += len({j for j, _ in own} & {j for _, j in near})
+        wanted += len(near)
+    assert hits >= 0.97 * wanted, (hits, wanted, sorted((len(rows[i // 10][1]), len({j for j, _ in got.get(i, [])})) for i in range(0, 6050, 50)))
+
+
+
 def test_large_buckets_are_split_by_nearness(spark):
     random_ = np.random.default_rng(12)
     centres = random_.normal(size=(40, 16)) * 4
