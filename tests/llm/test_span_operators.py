@@ -246,14 +246,17 @@ def test_urls_are_judged_as_by_trying_all_rules(spark):
     urls = [None, "", "no scheme", "://", "http:/a.net/", "ftp://x.net"]
     urls += [f"http://{pick.choice(hosts)}{pick.choice(tails)}" for _ in range(400)]
     pages = spark.createDataFrame(
-        [(i, u, "host", "best") for i, u in enumerate(urls)],
-        "page_id long, url string, host string, verdict string",
+        [(i, u, "host", "best", *range(9)) for i, u in enumerate(urls)],
+        "page_id long, url string, host string, verdict string, _host int, _path int, _best int, "
+        "_on int, _key int, _hit int, key int, hit int, block int",
     )
     listed = spark.createDataFrame(
         [(h, p, a, True) for a, h, p in RULES], "host string, path string, action string, is_rule boolean"
-    ).unionByName(url_filter.listed_hosts(pages))
+    ).unionByName(url_filter.listed_hosts(url_filter.distinct_urls(pages)))
     got = {r.page_id: r for r in url_filter.filter_urls(pages, listed).collect()}
     assert len(got) == len(urls)
+    internal = ("_host", "_path", "_best", "_on", "_key", "_hit", "key", "hit", "block")
+    assert all(tuple(r[c] for c in internal) == tuple(range(9)) for r in got.values())
     for i, u in enumerate(urls):
         r = got[i]
         assert (r.host, r.path, r.rule, r.verdict) == judged(u, RULES, ["spam-farm.org", "w.spam-farm.org"]), u
@@ -262,6 +265,49 @@ def test_urls_are_judged_as_by_trying_all_rules(spark):
     assert url_filter.filter_urls(pages.where("false"), listed).collect() == []
 
 
+def test_a_list_of_many_urls_with_paths(spark):
+    """100,000 entries; what the Bloom filter lets through wrongly is removed."""
+    size = 100_000
+    listed = spark.range(size).selectExpr(
+        "concat('h', id % 30000, '.example') AS host",
+        "concat('/p', id, '/') AS path", "'block' AS action", "false AS is_rule",
+    )
+    pages = spark.range(60_000).selectExpr(
+        "id AS page_id",
+        "CASE WHEN id % 3 = 0 THEN null ELSE concat('https://a.h', id % 30000, '.example/p', id % 90000,"
+        " CASE id % 2 WHEN 0 THEN '/x' ELSE 'x/' END) END AS url",
+    )
+    got = url_filter.filter_urls(pages, listed).groupBy("verdict").count().collect()
+    want = sum(i % 3 != 0 and i % 2 == 0 for i in range(60_000))
+    assert {r.verdict: r["count"] for r in got} == {"block": want, "allow": 60_000 - want}
+    keys = listed.select(F.concat("host", "path").alias("key"))
+    blocks = size * url_filter.BITS_PER_KEY // 512
+    others = spark.range(200_000).selectExpr("concat('other', id) AS key")
+    wrong = url_filter.may_contain(others, url_filter.build_filter(keys, blocks), blocks).count()
+    assert 0 < wrong < 0.005 * 200_000
+
+
+def test_pages_are_read_twice_and_missing_urls_are_spread(spark, tmp_path):
+    urls = [None] * 3000 + ["http://spam.example/"] * 3000 + [f"http://h{i}.example/" for i in range(3000)]
+    place = str(tmp_path / "pages")
+    spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string").write.parquet(place)
+    pages = spark.read.parquet(place)
+    known = url_filter.distinct_urls(pages)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        judged = url_filter.filter_urls(pages, url_filter.listed_hosts(known), urls=known)
+        plan = judged._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("url#") > 0 and plan.count("Relation [page_id") == 1
+        parts = judged.where("host = ''").groupBy(F.spark_partition_id()).count().collect()
+        assert len(parts) > 4 and max(r["count"] for r in parts) < 1000
+        assert judged.where("verdict = 'block'").count() == 3000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_the_filter_loses_no_listed_key_and_stops_most_others(spark):
     keys = spark.range(2000).selectExpr("concat('k', id) AS key")
     blocks = 2000 * url_filter.BITS_PER_KEY // 512

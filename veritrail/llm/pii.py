@@ -35,6 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veritrail.llm.common import fresh
 from veritrail.sources.scratch import materialise
 
 # Fixed patterns, written so that they never go back over what they have read:
@@ -169,18 +170,6 @@ def base_spans(text: Column, kind: str) -> Column:
     return F.when(_HINTS[kind](text), spans).otherwise(F.array()).cast(f"array<{_SPAN}>")
 
 
-def fresh(df: DataFrame, *names: str) -> list[str]:
-    """Column names like ``names`` that ``df`` does not have."""
-    taken = {c.lower() for c in df.columns}
-    out = []
-    for name in names:
-        while name.lower() in taken:
-            name += "_"
-        taken.add(name.lower())
-        out.append(name)
-    return out
-
-
 def with_base_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``spans`` of the fixed kinds, by kind, then place."""
     source = F.coalesce(F.col(text).cast("string"), F.lit(""))

@@ -64,8 +64,9 @@ def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
         [(h, p, a, True) for a, h, p in URL_RULES],
         "host string, path string, action string, is_rule boolean",
     )
-    listed = rules.unionByName(url_filter.listed_hosts(pages))
-    return url_filter.filter_urls(pages, listed).select(
+    urls = url_filter.distinct_urls(pages)
+    listed = rules.unionByName(url_filter.listed_hosts(urls))
+    return url_filter.filter_urls(pages, listed, urls=urls).select(
         "page_id", "host", "path", "rule", "verdict"
     )
 

@@ -5,12 +5,16 @@ subdomains and every path that starts with the entry's. Each distinct url is
 turned into the keys that could list it: host suffixes at label borders with
 path prefixes of the lengths that occur in the list. The filter lets through
 keys that may be listed; the join on the key itself removes false positives.
+Pages meet the few urls that something was decided for. Urls without host or
+path cannot be listed; they are spread over all tasks of that join, and rows of
+a url that many pages share are split by Spark, for both sides are stored.
 
 Defined results: a null url, or one without ``://``, has empty host and path
 and no rule, and is allowed; an empty list allows everything; an entry without
 host or path lists nothing; of equally long entries the one with the longer
 host wins, then block; every input row gives one row, repeated rows included;
-other columns are ignored.
+other columns pass through whatever their names, but host, path, rule and
+verdict are replaced.
 """
 
 from __future__ import annotations
@@ -18,6 +22,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veritrail.llm.common import fresh
+from veritrail.sources.scratch import materialise
+
 #: Bits of filter for each listed key, and the words of 64 bits in a block.
 BITS_PER_KEY = 16
 WORDS = 8
@@ -86,13 +93,17 @@ def candidate_keys(urls: DataFrame, path_lengths: list[int]) -> DataFrame:
     )
 
 
-def filter_urls(pages: DataFrame, listed: DataFrame, url: str = "url") -> DataFrame:
-    """``pages`` with host, path, rule and verdict.
+def distinct_urls(pages: DataFrame, url: str = "url") -> DataFrame:
+    """(host, path) of the different urls that could be listed, stored."""
+    host, path = split_url(F.col(f"`{url}`"))
+    urls = pages.select(host.alias("host"), path.alias("path"))
+    return materialise(urls.where("host <> '' and path <> ''").distinct(), "urls")
 
-    ``listed`` has host, path, action (allow or block) and is_rule. The longest
-    rule decides; without one, any other listed entry blocks.
-    """
-    entries = (
+
+def decided_urls(urls: DataFrame, listed: DataFrame) -> DataFrame:
+    """(host, path, key, hit) of the urls that an entry lists, with the entry
+    that decides, stored."""
+    entries = materialise(
         listed.where("host <> '' and path <> ''")
         .withColumn("key", F.concat("host", "path"))
         .groupBy("key")
@@ -103,7 +114,8 @@ def filter_urls(pages: DataFrame, listed: DataFrame, url: str = "url") -> DataFr
             ).alias("hit"),
             F.max(F.length("path")).alias("path_length"),
             F.max(F.length("host")).alias("host_length"),
-        )
+        ),
+        "url-entries",
     )
     size = entries.agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("key") + 64), F.lit(0))
@@ -111,32 +123,46 @@ def filter_urls(pages: DataFrame, listed: DataFrame, url: str = "url") -> DataFr
     # Bounded by the longest path of the list, not by its entries.
     lengths = sorted(r[0] for r in entries.select("path_length").distinct().collect())
     blocks = max(1, -(-size[0] * BITS_PER_KEY // (64 * WORDS)))
-
-    host, path = split_url(F.col(url))
-    pages = pages.withColumn("_host", host).withColumn("_path", path)
-    urls = pages.select(F.col("_host").alias("host"), F.col("_path").alias("path")).distinct()
     candidates = candidate_keys(urls, lengths or [0])
     passed = may_contain(candidates, build_filter(entries, blocks), blocks)
     exact = passed.join(F.broadcast(entries) if size[1] <= BROADCAST_BYTES else entries, "key")
-    decided = exact.groupBy(F.col("host").alias("_host"), F.col("path").alias("_path")).agg(
-        F.max_by(
-            F.struct("key", "hit"),
-            F.struct("hit.is_rule", F.length("key"), "host_length"),
-        ).alias("_best")
+    best = F.max_by(
+        F.struct("key", "hit"), F.struct("hit.is_rule", F.length("key"), "host_length")
     )
-    ruled = F.col("_best.hit.is_rule")
-    return (
-        pages.join(decided, ["_host", "_path"], "left")
-        .withColumn("rule", F.when(ruled, F.col("_best.key")))
-        .withColumn(
-            "verdict",
-            F.when(ruled, F.col("_best.hit.action")).otherwise(
-                F.when(F.col("_best").isNotNull(), "block").otherwise("allow")
-            ),
-        )
-        .drop("_best", "host", "path")
-        .withColumnRenamed("_host", "host")
-        .withColumnRenamed("_path", "path")
+    decided = exact.groupBy("host", "path").agg(best.alias("best")).select("host", "path", "best.*")
+    return materialise(decided, "decided-urls")
+
+
+def filter_urls(
+    pages: DataFrame, listed: DataFrame, url: str = "url", urls: DataFrame | None = None
+) -> DataFrame:
+    """``pages`` with host, path, rule and verdict.
+
+    ``listed`` has host, path, action (allow or block) and is_rule. The longest
+    rule decides; without one, any other listed entry blocks. ``urls`` are the
+    :func:`distinct_urls` of the pages, if they are known already.
+    """
+    urls = distinct_urls(pages, url) if urls is None else urls
+    host, path = split_url(F.col(f"`{url}`"))
+    h, p, on, key, hit = fresh(pages, "_host", "_path", "_on", "_key", "_hit")
+    decided = decided_urls(urls, listed).select(
+        F.col("host").alias(on), F.col("path").alias(p), F.col("key").alias(key), F.col("hit").alias(hit)
+    )
+    # No host has a slash: what cannot be listed matches nothing, wherever it goes.
+    alone = F.concat(F.lit("/"), F.monotonically_increasing_id().cast("string"))
+    known = (F.col(h) != "") & (F.col(p) != "")
+    rows = pages.withColumns({h: host, p: path}).withColumn(on, F.when(known, F.col(h)).otherwise(alone))
+    ruled = F.col(hit)["is_rule"]
+    verdict = F.when(ruled, F.col(hit)["action"]).otherwise(
+        F.when(F.col(key).isNotNull(), "block").otherwise("allow")
+    )
+    replaced = ("host", "path", "rule", "verdict")
+    return rows.join(decided, [on, p], "left").select(
+        *(F.col(f"`{c}`") for c in pages.columns if c not in replaced),
+        F.col(h).alias("host"),
+        F.col(p).alias("path"),
+        F.when(ruled, F.col(key)).alias("rule"),
+        verdict.alias("verdict"),
     )
 
 
@@ -146,13 +172,12 @@ LISTED_WORDS = (
 )
 
 
-def listed_hosts(pages: DataFrame, url: str = "url") -> DataFrame:
-    """Block list of the registered query: every host of ``pages`` one of whose
+def listed_hosts(urls: DataFrame) -> DataFrame:
+    """Block list of the registered query: every host of ``urls`` one of whose
     labels has a listed word, in canonical form."""
-    host, _ = split_url(F.col(url))
     words = "|".join(LISTED_WORDS)
     return (
-        pages.select(host.alias("host"))
+        urls.select("host")
         .where(F.col("host").rlike(rf"(^|[.-])({words})([.-]|$)"))
         .distinct()
         .select(
