@@ -333,6 +333,10 @@ def conversations():
     rows += [(50, 5000 - i, "user" if i % 2 else "assistant", f"turn {i} " * 8) for i in range(4000)]
     rows += [(None, 1, "assistant", "x"), (None, 0, "user", "y"), (60, 1, "assistant", "long " * 5000)]
     rows += [(70, 1, "assistant", "same")] * 3
+    # Turns without a number, with one number, and conversations without id.
+    rows += [(90, None, "user", f"n{i % 700} word") for i in range(2600)]
+    rows += [(91, 5, "assistant", "the same")] * 2600 + [(91, 4, "user", "first"), (91, 6, "user", "last")]
+    rows += [(None, i % 3, "assistant", f"of conversation {i}") for i in range(2600)]
     return rows
 
 
@@ -381,6 +385,19 @@ def test_windows_give_every_conversation_back(spark):
     assert chat.read_back(chat.format_chats(frame.where("false"))).collect() == []
 
 
+def test_large_chunks_are_cut_by_rank(spark):
+    frame = spark.createDataFrame(
+        [("c", 0, 5, "user", f"{i % 9}") for i in range(5000)] + [("d", 0, i, "user", "x") for i in range(9)],
+        "conv_key string, chunk long, turn long, role string, text string",
+    )
+    got = chat._dealt(frame).groupBy("conv_key", "sub").agg(
+        F.count(F.lit(1)).alias("n"), F.min("text").alias("low"), F.max("text").alias("high")
+    ).orderBy("conv_key", "sub").collect()
+    assert [r.n for r in got] == [1024] * 4 + [904, 9]
+    for a, b in zip(got[:4], got[1:5]):
+        assert a.high <= b.low
+
+
 def test_windows_stay_within_the_budget(spark):
     rows = conversations()
     sized = lambda conv, role, *sizes: [

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veritrail.llm.common import arrow_rows
+from veritrail.llm.merkle import _ranked
 from veritrail.sources.scratch import materialise
 
 BUDGET = 1024
@@ -78,22 +79,24 @@ def placed_turns(turns: DataFrame, budget: int, history: int) -> DataFrame:
             "chunk": F.coalesce(F.floor(F.col("turn") / CHUNK), F.lit(-(2**62)).cast("long")),
         }
     )
-    within = Window.partitionBy("conv_key", "chunk").orderBy(
+    rows = _dealt(rows)
+    within = Window.partitionBy("conv_key", "chunk", "sub").orderBy(
         F.col("turn").asc_nulls_first(), "role", "text"
     )
     upto = within.rowsBetween(Window.unboundedPreceding, 0)
     before = (
         Window.partitionBy("conv_key")
-        .orderBy("chunk")
+        .orderBy("chunk", "sub")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     zero = F.lit(0).cast("long")
     chunks = (
-        rows.groupBy("conv_key", "chunk")
+        rows.groupBy("conv_key", "chunk", "sub")
         .agg(F.sum("tokens").alias("_t"), F.count(F.lit(1)).alias("_c"))
         .select(
             "conv_key",
             "chunk",
+            "sub",
             F.coalesce(F.sum("_t").over(before), zero).alias("t0"),
             F.coalesce(F.sum("_c").over(before), zero).alias("c0"),
         )
@@ -101,7 +104,7 @@ def placed_turns(turns: DataFrame, budget: int, history: int) -> DataFrame:
     rows = (
         rows.withColumn("run", F.sum("tokens").over(upto))
         .withColumn("rn", F.row_number().over(within))
-        .join(chunks, ["conv_key", "chunk"])
+        .join(chunks, ["conv_key", "chunk", "sub"])
         .withColumn("start", F.col("t0") + F.col("run") - F.col("tokens"))
         .withColumn("idx", F.col("c0") + F.col("rn") - 1)
     )
@@ -167,6 +170,25 @@ def placed_turns(turns: DataFrame, budget: int, history: int) -> DataFrame:
     return own.select(here).union(again.select(here)).union(kept.select(here))
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``sub``, the part of their chunk. Turn numbers that are null
+    or repeat, or conversations that share a null id, may put very many rows in
+    a chunk; such chunks are cut by the rows' rank in it."""
+    large = rows.groupBy("conv_key", "chunk").agg(F.count(F.lit(1)).alias("_c"))
+    large = materialise(large.where(F.col("_c") > 2 * CHUNK).drop("_c"), "large-chunks")
+    zero = F.lit(0).cast("long")
+    if not large.take(1):
+        return rows.withColumn("sub", zero)
+    key = ["conv_key", "chunk"]
+    whole = rows.join(large, key, "left_anti").withColumn("sub", zero)
+    cut = materialise(
+        rows.join(large, key, "left_semi").withColumn("_of", F.concat_ws(":", *key)), "large-turns"
+    )
+    order = [F.col("turn").asc_nulls_first(), F.col("role").asc(), F.col("text").asc()]
+    ranked = _ranked(cut, "_of", order).withColumn("sub", F.floor(F.col("rank") / CHUNK))
+    return materialise(whole.unionByName(ranked.select(whole.columns)), "dealt-turns")
+
+
 def _windowed(rows: DataFrame, budget: int, history: int) -> DataFrame:
     """``rows`` with ``window``, the idx of the first turn of their window. Holds
     one window's tokens."""

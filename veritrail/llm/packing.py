@@ -153,12 +153,13 @@ def places(found: list[tuple[list[int], int]]) -> dict[str, np.ndarray]:
 
 
 def ranked(parts: DataFrame) -> DataFrame:
-    """``parts`` with its rank, from 0, among the pieces of its length. Hot
-    lengths are salted; salts are as many as the pieces need."""
+    """``parts``, a stored table, with its rank, from 0, among the pieces of its
+    length. Hot lengths are salted by the number of the row, so that equal rows
+    part too; salts are as many as the pieces need."""
     counted = parts.groupBy("length").agg(F.count(F.lit(1)).alias("_n"))
-    salted = parts.join(F.broadcast(counted), "length").withColumn(
-        "_salt",
-        F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.ceil(F.col("_n") / RANKED_TOGETHER)),
+    numbered = parts.withColumn("_nth", F.monotonically_increasing_id())
+    salted = numbered.join(F.broadcast(counted), "length").withColumn(
+        "_salt", F.pmod(F.xxhash64("_nth"), F.ceil(F.col("_n") / RANKED_TOGETHER))
     )
     before = (
         Window.partitionBy("length")
@@ -174,7 +175,7 @@ def ranked(parts: DataFrame) -> DataFrame:
             F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_before"),
         )
     )
-    own = Window.partitionBy("length", "_salt").orderBy("doc_id", "piece", "ids_crc32")
+    own = Window.partitionBy("length", "_salt").orderBy("_nth")
     return (
         salted.withColumn("_row", F.row_number().over(own))
         .join(salts, ["length", "_salt"])
@@ -184,7 +185,8 @@ def ranked(parts: DataFrame) -> DataFrame:
 
 
 def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``parts`` with the sequence_id and offset that each piece is packed at."""
+    """``parts``, a stored table, with the sequence_id and offset that each piece
+    is packed at."""
     # At most ``capacity`` rows: lengths lie between 1 and the capacity.
     histogram = {r[0]: r[1] for r in parts.groupBy("length").count().collect()}
     runs = places(combinations(histogram, capacity))
