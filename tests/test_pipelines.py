@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from veritrail.plans import incremental, landing, medallion
 from veritrail.plans.entities import AS_OF, BRONZE, Entities
 from veritrail.plans.queries import QUERIES
+from veritrail.sources import scratch
+from veritrail.streaming import live
 
 SMALL = "/root/testdata/sf0.001"
 IDS = {"systems": "system_id", "assessments": "assessment_id", "evidence": "evidence_id"}
@@ -115,6 +117,52 @@ def test_incremental_run_stores_gold(spark, streamed, table):
     assert "quality=gold" in detail["Table Properties"]
 
 
+@pytest.fixture(scope="module")
+def refreshed(spark, tmp_path_factory):
+    """Two deliveries, the business tables brought up to date after each."""
+    root = tmp_path_factory.mktemp("live")
+    e = Entities(spark, SMALL)
+    paths = {name: f"{root}/landing/{name}" for name in BRONZE}
+    for name in incremental.CATALOGUES:
+        landing.land_csv(e.bronze(name), paths[name])
+    layers = medallion.Layers("l_bronze", "l_silver", "l_gold", location=str(root / "lake"))
+    for i in range(2):
+        for name, key in IDS.items():
+            land = landing.land_json if name == "evidence" else landing.land_csv
+            land(landing.deliveries(e.bronze(name), key)[i], paths[name])
+        arrived = incremental.advance(spark, paths, str(root))
+        incremental.refresh(spark, paths, str(root), AS_OF, layers)
+    return layers, paths, root, arrived
+
+
+@pytest.mark.parametrize("table", STORED)
+def test_refreshed_tables_equal_a_recompute(spark, refreshed, table):
+    _same(spark.table(f"{refreshed[0].gold}.{table}"), QUERIES[STORED[table]](spark, SMALL))
+
+
+def test_a_refresh_reads_new_rows_only(spark, refreshed):
+    layers, paths, root, arrived = refreshed
+    for entity in live.ENTITIES:
+        state = live.LiveState(spark, str(root), entity)
+        taken = [r.rows for r in state.commits().orderBy("batch").collect()]
+        assert len(taken) == 2 and taken[1] == arrived[entity]
+    incremental.refresh(spark, paths, str(root), AS_OF, layers)
+    assert state.commits().count() == 2
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Session:
+        conf = {}
+
+        class sparkContext:  # noqa: N801
+            master = "yarn"
+
+    with pytest.raises(ValueError):
+        scratch.scratch_root(Session)
+    Session.conf = {"spark.checkpoint.dir": "hdfs://shared/"}
+    assert scratch.scratch_root(Session) == "hdfs://shared"
+
+
 def test_incremental_run_stores_catalogues_alerts_and_risk(spark, streamed):
     layers, *_, seen = streamed
     assert seen["silver.controls"]["failed_valid_control_id"] == 0

@@ -1,9 +1,9 @@
 """Shared scratch storage for intermediate tables.
 
 The cluster names a shared folder in ``spark.checkpoint.dir``; everything
-temporary goes there, so any executor (or its replacement) can read it. A
-session without that setting gets a folder below its warehouse, which is shared
-storage as well.
+temporary goes there, so any executor (or its replacement) can read it. A local
+session without that setting, as in tests, gets a folder below its warehouse; on
+a cluster the setting has to be there, for no other folder is known to be shared.
 """
 
 from __future__ import annotations
@@ -16,6 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return root.rstrip("/")
 
