@@ -93,10 +93,24 @@ def _features(e: Entities) -> DataFrame:
     return risk.risk_features(e.assessments, e.systems, _stored_pairs(e))
 
 
+#: What the rules, the scorecard and the gaps read of the large entities.
+ALERTED = {
+    "evidence": (
+        "evidence_id", "control_id", "system_id", "status", "upload_timestamp", "is_expired",
+        "days_until_expiry", "is_current",
+    ),
+    "assessments": (
+        "assessment_id", "control_id", "system_id", "assessment_date", "implementation_status",
+        "compliance_score", "is_overdue", "days_to_remediation",
+    ),
+}
+
+
 def _alerts(e: Entities) -> DataFrame:
-    """Each entity is cleaned once and stored; rules and gold read that."""
-    evidence = materialise(e.evidence, "silver-evidence")
-    assessments = materialise(e.assessments, "silver-assessments")
+    """Each entity is cleaned once and what is needed of it is stored; rules and
+    gold read that."""
+    evidence = materialise(e.evidence.select(*ALERTED["evidence"]), "silver-evidence")
+    assessments = materialise(e.assessments.select(*ALERTED["assessments"]), "silver-assessments")
     pairs = materialise(rollups.evidence_pairs(evidence), "evidence-pairs")
     card = gold.system_scorecard(
         e.systems,
