@@ -374,7 +374,7 @@ def evidence_by_family_unit(spark: SparkSession, folder: str) -> DataFrame:
 
 
 #: Family and units of which the missing pairs are listed.
-LISTED_FAMILY, LISTED_UNITS = "PR", ("FRANCE", "GERMANY", "CHINA", "BRAZIL")
+LISTED_FAMILY, LISTED_UNITS = "PR", ("NATION_9", "NATION_15", "NATION_18")
 
 
 @query

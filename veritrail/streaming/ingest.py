@@ -204,6 +204,7 @@ def start_evolving_csv(
     the entity's schema log, so a file with moved, new or missing columns does
     not stop the stream."""
     log = SchemaLog(spark, f"{store}/schema_log/{entity}")
+    log.prepare()
     # Only the files' names are read here.
     names = (
         spark.readStream.format("binaryFile")

@@ -37,6 +37,11 @@ class SchemaLog:
                 raise
             return self.spark.createDataFrame([], LOGGED)
 
+    def prepare(self) -> None:
+        """An empty log, where there is none yet."""
+        first = f"{self.location}/version-none"
+        self.spark.createDataFrame([], LOGGED).write.mode("ignore").json(first)
+
     def current(self) -> tuple[int, list[str]] | None:
         last = self.versions().where("columns is not null").orderBy(F.desc("version")).head()
         return (last.version, list(last.columns)) if last else None
