@@ -13,6 +13,7 @@ from tests.conftest import AS_OF, by, day, rows
 from tests.test_silver import frame
 from veritrail.operators import bitmaps, quality, rollups, skew, timeline
 from veritrail.operators import silver as s
+from veritrail.plans.queries import QUERIES
 
 # Timeline
 
@@ -258,3 +259,8 @@ def test_pair_rollup_stays_as_it_was(dated):
     periods = timeline.evidence_periods(evidence)
     assert periods.agg(F.sum("rows")).head()[0] == evidence.count()
     assert rollups.evidence_pairs(evidence).count() == periods.select("control_id", "system_id").distinct().count()
+
+
+def test_readiness_copies_no_rows_for_distinct_counts(spark):
+    df = QUERIES["gold_audit_readiness"](spark, "/root/testdata/sf0.001")
+    assert "Expand" not in df._jdf.queryExecution().toString()
