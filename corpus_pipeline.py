@@ -39,11 +39,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     rows = docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row"))
     rows = materialise(rows, "numbered")
     groups = materialise(minhash.near_duplicates(rows, doc_id="_row"), "groups")
-    shared = groups.where("doc_id <> component_id").select("component_id").distinct()
-    members = (
-        groups.join(shared, "component_id", "left_semi")
-        .select(F.col("doc_id").alias("_row"), "component_id")
-        .join(rows.select("_row", "doc_id"), "_row")
+    copies = groups.where("doc_id <> component_id").select(
+        F.col("doc_id").alias("_row"), "component_id"
+    )
+    heads = copies.select(F.col("component_id").alias("_row"), "component_id").distinct()
+    members = materialise(
+        copies.union(heads).join(rows.select("_row", "doc_id"), "_row"), "group-members"
     )
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
     first = materialise(
