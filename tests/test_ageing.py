@@ -264,3 +264,30 @@ def test_pair_rollup_stays_as_it_was(dated):
 def test_readiness_copies_no_rows_for_distinct_counts(spark):
     df = QUERIES["gold_audit_readiness"](spark, "/root/testdata/sf0.001")
     assert "Expand" not in df._jdf.queryExecution().toString()
+
+
+def test_bitmaps_of_sparse_controls_are_no_larger_than_the_pairs(spark):
+    """Far apart systems: a word each, numbers instead of blocks of bytes, and no
+    bit lost at either end of a word."""
+    numbers = [1, 64, 65, 128, 129, 32_767, 32_768, 32_769, 1_000_000]
+    numbered = spark.createDataFrame([(str(n), n) for n in numbers], "system_id string, number long")
+    pairs = spark.createDataFrame(
+        [("c", str(n), n % 2) for n in numbers],
+        "control_id string, system_id string, current_evidence_count long",
+    )
+    bits = bitmaps.system_bitmaps(pairs, numbered)
+    assert {t for c, t in bits.dtypes if c in ("held", "current")} == {"bigint"}
+    assert len(rows(bits)) <= len(numbers)
+    assert sum(r["held"].bit_count() if r["held"] >= 0 else 64 - (~r["held"]).bit_count() for r in rows(bits)) == 9
+    controls = spark.createDataFrame(
+        [("c", "C", "n", "f", True)],
+        "control_id string, control_family_code string, control_name string, "
+        "control_family string, baseline_moderate boolean",
+    )
+    systems = numbered.selectExpr(
+        "system_id", "system_id AS system_name", "true AS in_soc2_scope", "false AS in_iso_scope"
+    )
+    (got,) = rows(bitmaps.control_coverage(controls, systems, bits, numbered))
+    assert got["systems_with_evidence"] == 9 and got["missing_systems"] == 0
+    assert got["systems_with_current_evidence"] == sum(n % 2 for n in numbers)
+    assert bitmaps.missing_pairs(controls, systems, bits, numbered).count() == 0
