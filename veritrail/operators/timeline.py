@@ -23,6 +23,18 @@ from veritrail import vocabulary as v
 from veritrail.operators import gold, rollups
 from veritrail.sources.scratch import materialise
 
+#: What the timeline reads of the large silver tables.
+READ = {
+    "assessments": (
+        "control_id", "system_id", "implementation_status", "compliance_score",
+        "remediation_due_date", "is_overdue",
+    ),
+    "evidence": (
+        "control_id", "system_id", "status", "assessment_period_start", "assessment_period_end",
+        "is_expired", "is_current",
+    ),
+}
+
 MEASURES = (
     "overdue_remediation_count",
     "expired_evidence",
@@ -86,18 +98,20 @@ def severity_spans(periods: DataFrame) -> dict[str, DataFrame]:
     On a day with accepted current evidence the days left come from the latest
     end of any evidence that has started: that evidence is current too.
     """
-    rows = periods.where("start <= end")
     pair = ["control_id", "system_id"]
-    begun = rows.select(
-        *pair, F.col("start").alias("day"), F.col("end").alias("reach"),
+    # Moved once, to their pair: sums by day and running totals stay there.
+    rows = periods.where("start <= end").repartition(*pair)
+    begun = F.struct(
+        F.col("start").alias("day"), F.col("end").alias("reach"),
         F.col("accepted").cast("int").alias("change"),
     )
-    ended = rows.where("accepted").select(
-        *pair, F.date_add("end", 1).alias("day"), F.lit(None).cast("date").alias("reach"),
+    ended = F.struct(
+        F.date_add("end", 1).alias("day"), F.lit(None).cast("date").alias("reach"),
         F.lit(-1).alias("change"),
     )
+    changes = F.when(F.col("accepted"), F.array(begun, ended)).otherwise(F.array(begun))
     by_day = (
-        begun.union(ended)
+        rows.select(*pair, F.inline(changes))
         .groupBy(*pair, "day")
         .agg(F.max("reach").alias("reach"), F.sum("change").alias("change"))
     )
@@ -109,6 +123,7 @@ def severity_spans(periods: DataFrame) -> dict[str, DataFrame]:
         F.sum("change").over(so_far).alias("accepted"),
         F.lead("day").over(order).alias("next"),
     ).where("accepted > 0")
+    states = materialise(states.select("day", "reach", "next"), "pair-states")
     soon = F.date_add("reach", 1 - v.EXPIRES_SOON_DAYS)
     later = F.date_add("reach", 1 - v.EXPIRES_LATER_DAYS)
     day, following = F.col("day"), F.col("next")
