@@ -102,3 +102,16 @@ def test_scratch_is_shared_and_fresh(spark, people):
     assert first != second and first.startswith(root)
     assert sorted(scratch.materialise(people, "people").collect()) == sorted(people.collect())
 
+
+
+def test_landed_files_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "FILE_ROWS", 10)
+    df = spark.range(25).selectExpr("CAST(id AS STRING) AS id", "repeat('  x', 200) AS t").coalesce(1)
+    for land, read, end in (
+        (landing.land_csv, lambda p: readers.read_csv(spark, p, infer=False), "csv.gz"),
+        (landing.land_json, lambda p: readers.read_jsonl(spark, p), "json.gz"),
+    ):
+        path = land(df, str(tmp_path / end))
+        files = list((tmp_path / end).glob(f"*.{end}"))
+        assert len(files) == 3 and sum(f.stat().st_size for f in files) < 25 * 200
+        assert sorted(map(tuple, read(path).select("id", "t").collect())) == sorted(map(tuple, df.collect()))

@@ -273,3 +273,14 @@ def test_states_take_new_rows_once_and_merge(spark, tmp_path, monkeypatch, as_of
         ):
             got = got.select(*want.columns)
             assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_states_keep_no_copy_of_the_rows(spark, tmp_path):
+    """Whole rows are not kept on the executors while the states take them in."""
+    state = live.LiveState(spark, str(tmp_path), "assessments")
+    state.prepare()
+    rows = s.clean_assessments(_assessments(spark, ["1", "2"]))
+    asked = []
+    rows.persist = lambda *_: asked.append(1) or rows
+    assert state.apply(rows, 0) and not asked and not rows.is_cached
+    assert state.read("by_family").agg({"n": "sum"}).head()[0] == 2
