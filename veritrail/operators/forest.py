@@ -4,12 +4,15 @@ The nodes come from the model as Spark ML stores it. A row starts at the root of
 every tree; each join with the nodes moves it to the child that its features
 choose, until it stands on a leaf in all trees. A leaf's class shares are the
 tree's vote. Nodes are bounded by the number of trees and their depth, so they
-are broadcast and rows move no data until their votes are added up.
+are broadcast. Rows that no split tells apart stand on the same leaves: they walk
+once, as a cell between the thresholds of the forest, and take the cell's score by
+a join. Cells follow the splits of the forest, not the rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,9 +60,10 @@ def scores(
     ``features`` holds the model's inputs as numbers."""
     placed = materialise(tree_nodes, "forest-nodes")
     trees = placed.agg(F.max("tree")).head()[0] + 1
-    x = F.array(*(F.col(c).cast("double") for c in inputs))
-    rows = features.select(F.monotonically_increasing_id().alias("_row"), *keep, x.alias("_x"))
-    at = materialise(rows, "forest-rows").withColumn(
+    x = [_cell(F.col(c).cast("double"), t) for c, t in zip(inputs, _thresholds(placed, len(inputs)))]
+    rows = materialise(features.select(*keep, F.array(*x).alias("_x")), "forest-rows")
+    cells = materialise(rows.select("_x").distinct(), "forest-cells")
+    at = cells.withColumn(
         "tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))
     ).withColumn("node", F.lit(0))
     found = F.broadcast(placed)
@@ -70,8 +74,28 @@ def scores(
             *at.columns[:-1], F.when(stay, F.col("node")).otherwise(_next(F.col("_x"))).alias("node")
         )
     leaves = at.join(found, ["tree", "node"])
-    return (
-        leaves.groupBy("_row", *keep).agg((F.sum("share") / trees).alias("risk_score")).drop("_row")
+    scored = leaves.groupBy("_x").agg((F.sum("share") / trees).alias("risk_score"))
+    return rows.join(materialise(scored, "cell-scores"), "_x").select(*keep, "risk_score")
+
+
+def _thresholds(placed: DataFrame, inputs: int) -> list[list[float]]:
+    """Per feature the thresholds of its splits, ascending; a forest has fewer
+    per feature than bins. None for a feature that is split on categories."""
+    found = placed.where("threshold is not null").groupBy("feature")
+    by = dict(found.agg(F.sort_array(F.collect_set("threshold")).alias("t")).collect())
+    return [by.get(i, []) for i in range(inputs)]
+
+
+def _cell(value: Column, thresholds: Sequence[float]) -> Column:
+    """What stands for all values that every split sends the same way: the least
+    threshold they do not exceed, else infinity, as for null, which goes right
+    everywhere. A feature without thresholds stands for itself."""
+    if not thresholds:
+        return F.coalesce(value, F.lit(float("nan")))
+    return reduce(
+        lambda above, t: F.when(value <= t, F.lit(t)).otherwise(above),
+        reversed(thresholds),
+        F.lit(float("inf")),
     )
 
 
