@@ -244,3 +244,24 @@ def test_area_by_ranks_counts_ordered_pairs(spark):
     neg = [s for s, y in scored if not y]
     want = sum((p > n) + (p == n) / 2 for p in pos for n in neg) / len(pos) / len(neg)
     assert risk.area_by_ranks(frame).head()[0] == pytest.approx(want)
+
+
+def test_training_learns_from_every_row(spark):
+    """Equal rows become weights; no row is left out, however many there are."""
+    df = spark.range(5000).select(
+        (F.col("id") % 3).alias("x"), F.lit("AC").alias("control_family_code"),
+        (F.col("id") % 7 == 0).cast("double").alias(risk.LABEL),
+    )
+    got = rows(risk.weighted(df, ["x"]))
+    assert sum(r[risk.WEIGHT] for r in got) == pytest.approx(5000)
+    assert len(got) == 6 * risk.EQUAL_ROWS
+    few = rows(risk.weighted(df.limit(20), ["x"]))
+    assert len(few) == 20 and {r[risk.WEIGHT] for r in few} == {1.0}
+
+
+def test_rows_between_the_same_thresholds_walk_as_one_cell(spark):
+    x = [None, float("nan"), -5.0, 1.0, 1.5, 2.0, 9.0]
+    df = spark.createDataFrame([(v_,) for v_ in x], "x double")
+    cells = df.select(forest._cell(F.col("x"), [1.0, 2.0]).alias("c"))
+    inf = float("inf")
+    assert [r["c"] for r in rows(cells)] == [inf, inf, 1.0, 1.0, 2.0, 2.0, inf]
