@@ -246,7 +246,7 @@ def test_area_by_ranks_counts_ordered_pairs(spark):
     assert risk.area_by_ranks(frame).head()[0] == pytest.approx(want)
 
 
-def test_training_learns_from_every_row(spark):
+def test_training_learns_from_every_row(spark, monkeypatch):
     """Equal rows become weights; no row is left out, however many there are."""
     df = spark.range(5000).select(
         (F.col("id") % 3).alias("x"), F.lit("AC").alias("control_family_code"),
@@ -255,6 +255,12 @@ def test_training_learns_from_every_row(spark):
     got = rows(risk.weighted(df, ["x"]))
     assert sum(r[risk.WEIGHT] for r in got) == pytest.approx(5000)
     assert len(got) == 6 * risk.EQUAL_ROWS
+    plain = risk.train(df, inputs=["x"], trees=3)
+    monkeypatch.setattr(risk, "PLAIN_ROWS", 100)
+    model = risk.train(df, inputs=["x"], trees=3)
+    for m in (plain, model):
+        votes = m.transform(df.where("id = 0")).head().rawPrediction
+        assert sum(votes) == pytest.approx(3)
     few = rows(risk.weighted(df.limit(20), ["x"]))
     assert len(few) == 20 and {r[risk.WEIGHT] for r in few} == {1.0}
 
