@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import glob
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -284,3 +285,37 @@ def test_states_keep_no_copy_of_the_rows(spark, tmp_path):
     rows.persist = lambda *_: asked.append(1) or rows
     assert state.apply(rows, 0) and not asked and not rows.is_cached
     assert state.read("by_family").agg({"n": "sum"}).head()[0] == 2
+
+
+def test_sums_over_fewer_keys_read_parts_unmerged(spark, tmp_path, as_of, monkeypatch):
+    """Only the count of pairs merges a state by key, which moves every row of it."""
+    store = str(tmp_path)
+    for entity in live.ENTITIES:
+        state = live.LiveState(spark, store, entity)
+        raw = spark.createDataFrame([], schemas.text_schema(schemas.ENTITY_COLUMNS[entity]))
+        for batch in range(2):
+            assert state.apply(refine.CLEANERS[entity](raw), batch)
+    merged = []
+    real = live.State.merged
+    monkeypatch.setattr(
+        live.State, "merged", lambda self, parts: merged.append(list(self.keys)) or real(self, parts)
+    )
+    now = live.LiveRollups(spark, store, as_of)
+    now.family_rollup(), now.system_assessment_rollup(), now.evidence_pairs()
+    now.assessment_totals(), now.evidence_totals()
+    assert merged == []
+    now.control_rollup()
+    assert merged == [["control_id", "system_id"]]
+
+
+def test_files_taken_in_are_deleted_if_asked(spark, tmp_path):
+    store, kept, cleaned = (str(tmp_path / n) for n in ("store", "kept", "cleaned"))
+    schema = schemas.text_schema(["a"])
+    for n in range(2):
+        for folder, clean in ((kept, False), (cleaned, True)):
+            landing.land_json(spark.createDataFrame([(str(n),)], schema).coalesce(1), folder)
+            ingest.ingest_json(spark, folder, store, folder.rsplit("/", 1)[1], schema, clean=clean)
+    assert len(glob.glob(f"{kept}/*.json.gz")) == 2 and len(glob.glob(f"{cleaned}/*.json.gz")) == 1
+    for entity in ("kept", "cleaned"):
+        rows = ingest.bronze_table(spark, store, entity).select("a").collect()
+        assert sorted(r[0] for r in rows) == ["0", "1"]
