@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import random
 import re
+import string
 import zlib
 
 import numpy as np
@@ -15,6 +16,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from veritrail.llm import byte_bpe, language_id, license_scan, packing
+from veritrail.llm.word_encoder import WordEncoder
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -385,3 +387,22 @@ def test_a_long_word_spoils_no_model(spark):
     got = {r.doc_id: r for r in language_id.predict(docs, models, PIECES).collect()}
     assert [got[i].lang_pred for i in sorted(got)] == ["en", "fr", "xx"]
     assert all(0.5 <= r.score <= 1 for r in got.values())
+
+
+def test_marks_after_letters_skip_the_whole_tokenizer(monkeypatch):
+    """Letters with any ASCII marks behind them go straight to the model, also
+    after a line feed; ids stay the whole tokenizer's."""
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    words = WordEncoder(tokenizer, True)
+    pick = random.Random(7)
+    marks = [m for m in string.punctuation if m not in "'_"]
+    some = ["$$$", ".%%%", *("".join(pick.choices(marks, k=n)) for n in (1, 2, 4))]
+    letters = ["".join(pick.choices("abcDEéß", k=6)) for _ in range(200)]
+    texts = [x + pick.choice(some) for x in letters] + [f"{x}.\n{x}," for x in letters]
+    want = [tokenizer.encode(" " + t, add_special_tokens=False).ids for t in texts]
+    asked, whole = [], words.whole
+    monkeypatch.setattr(words, "whole", lambda t: asked.append(t) or whole(t))
+    got = [np.frombuffer(words.encode([t]), "<u4").tolist() for t in texts]
+    assert got == want and set(asked) <= {*some, "\n"}
+    for odd in ("a's", "a'", "a_", "a_b", "a$b", "a$中"):
+        assert words.encode([odd]) == whole(" " + odd)

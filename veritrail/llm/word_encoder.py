@@ -2,8 +2,8 @@
 
 Both vocabularies encode the matches of their split pattern one by one, so a
 text's ids are those of its words in a row as long as no match crosses a cut.
-Words made of Latin letters and a closing mark skip the library's splitter and
-go straight to its BPE model; everything else takes the whole tokenizer.
+Words made of Latin letters and closing marks skip the library's splitter and go
+straight to its BPE model; everything else takes the whole tokenizer.
 """
 
 from __future__ import annotations
@@ -15,7 +15,9 @@ from array import array
 #: Words that a worker keeps, and as many from before that it still knows.
 CACHED_WORDS = 150_000
 
-_LATIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
+#: Letters, and ASCII marks after them: a match of their own. An apostrophe may
+#: begin a match with letters, and some patterns count _ as a letter.
+_LATIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-^`{-~]*)")
 
 
 def byte_chars() -> dict[int, str]:
@@ -41,6 +43,16 @@ def single_threaded() -> None:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
 
 
+class _Words(dict):
+    """Ids by word; a word that is looked up and not there is learned."""
+
+    def __init__(self, learn):
+        self.learn = learn
+
+    def __missing__(self, word: str) -> bytes:
+        return self.learn(word)
+
+
 class WordEncoder:
     """Ids of words as little-endian unsigned 32-bit integers.
 
@@ -54,7 +66,7 @@ class WordEncoder:
         self.model = tokenizer.model
         self.spaced = spaced
         self.cached = cached
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = _Words(self._learn)
         self.before: dict[str, bytes] = {}
         self.starts: dict[str, bytes] = {}
         self.marks = {m: self.whole(m) for m in ".,;:!?"}
@@ -62,13 +74,8 @@ class WordEncoder:
     def encode(self, words: list[str]) -> bytes:
         """Ids of the words in a row."""
         if len(self.known) >= self.cached:
-            self.before, self.known = self.known, {}
-        known = self.known
-        found = list(map(known.get, words))
-        if None in found:
-            self._learn({w for w, ids in zip(words, found) if ids is None})
-            found = [known[w] if ids is None else ids for w, ids in zip(words, found)]
-        return b"".join(found)
+            self.before, self.known = self.known, _Words(self._learn)
+        return b"".join(map(self.known.__getitem__, words))
 
     def start(self, text: str) -> bytes:
         """Ids of words that no space precedes."""
@@ -76,38 +83,44 @@ class WordEncoder:
         if ids is None:
             if len(self.starts) >= self.cached // 4:
                 self.starts.clear()
-            ids = self.starts[text] = self.whole(text)
+            m = _LATIN.fullmatch(text) if self.spaced else None
+            ids = self._latin(byte_level(m[1]), m[2]) if m else self.whole(text)
+            self.starts[text] = ids
         return ids
 
-    def _learn(self, missing: set[str]) -> None:
-        """The common case, ASCII letters with or without a closing mark, in
-        one loop; all other words one by one."""
-        known, before, marks, tokenize = self.known, self.before, self.marks, self.model.tokenize
-        for word in missing:
-            ids = before.get(word)
-            if ids is None:
-                mark = marks.get(word[-1:], b"")
-                letters = word[:-1] if mark else word
-                if not (letters.isascii() and letters.isalpha()):
-                    ids = self._other(word)
-                else:
-                    ids = (known.get(letters) or before.get(letters)) if mark else None
-                    if ids is None:
-                        plain = _SPACE + letters if self.spaced else letters.lower()
-                        ids = array("I", [t.id for t in tokenize(plain)]).tobytes()
-                        if mark:
-                            known[letters] = ids
-                    ids += mark
-            known[word] = ids
+    def _latin(self, letters: str, marks: str) -> bytes:
+        """Ids of letters, as the model's characters, and of the marks after them."""
+        ids = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+        return ids + (self.marks.get(marks) or self.start(marks)) if marks else ids
+
+    def _learn(self, word: str) -> bytes:
+        """The common case, ASCII letters with or without a closing mark, goes
+        straight to the model."""
+        known, before = self.known, self.before
+        ids = before.get(word)
+        if ids is None:
+            mark = self.marks.get(word[-1:], b"")
+            letters = word[:-1] if mark else word
+            if not (letters.isascii() and letters.isalpha()):
+                ids = self._other(word)
+            else:
+                ids = (known.get(letters) or before.get(letters)) if mark else None
+                if ids is None:
+                    plain = _SPACE + letters if self.spaced else letters.lower()
+                    ids = array("I", [t.id for t in self.model.tokenize(plain)]).tobytes()
+                    if mark:
+                        known[letters] = ids
+                ids += mark
+        known[word] = ids
+        return ids
 
     def _other(self, word: str) -> bytes:
         m = _LATIN.fullmatch(word)
         if not m:
             return self._broken(word)
-        letters, mark = m.groups()
+        letters, marks = m.groups()
         text = _SPACE + byte_level(letters) if self.spaced else byte_level(letters.lower())
-        ids = array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
-        return ids + self.marks[mark] if mark else ids
+        return self._latin(text, marks)
 
     def _broken(self, word: str) -> bytes:
         """Ids of a word that is not plain; a lone line feed between two
@@ -117,8 +130,6 @@ class WordEncoder:
         if word.count("\n") == 1:
             left, _, right = word.partition("\n")
             if left and right and not left[-1].isspace() and not right[0].isspace():
-                if left not in self.known:
-                    self._learn({left})
                 return self.known[left] + self.start("\n") + self.start(right)
         return self.whole(" " + word)
 
