@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import glob
+import os
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -11,8 +12,9 @@ from tests.conftest import by, day
 from tests.test_silver import frame
 from veritrail.operators import quality, rollups
 from veritrail.operators import silver as s
-from veritrail.plans import landing
-from veritrail.sources import schemas
+from veritrail.plans import incremental, landing, queries
+from veritrail.plans.entities import Entities
+from veritrail.sources import schemas, scratch
 from veritrail.streaming import ingest, live, refine, schema_log
 from veritrail.streaming.manifest import BatchTable
 
@@ -319,3 +321,47 @@ def test_files_taken_in_are_deleted_if_asked(spark, tmp_path):
     for entity in ("kept", "cleaned"):
         rows = ingest.bronze_table(spark, store, entity).select("a").collect()
         assert sorted(r[0] for r in rows) == ["0", "1"]
+
+
+def test_removal_of_shuffles_is_set_for_a_block_only(spark, tmp_path):
+    """Only inside the block; the session's own setting is there again after it."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    with scratch.shuffles_removed(spark):
+        assert spark.conf.get(key) == "true"
+    with pytest.raises(ZeroDivisionError), scratch.shuffles_removed(spark):
+        1 / 0
+    assert spark.conf.get(key) == before
+
+
+def test_the_incremental_run_keeps_no_landed_text_and_no_shuffles(spark, tmp_path, monkeypatch):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    places, setting = [], []
+    real = queries.live.update
+    monkeypatch.setattr(queries, "new_scratch_dir", lambda *_: f"{tmp_path}/stream-all-test")
+    monkeypatch.setattr(queries, "_published", {})
+
+    def update(spark, store):
+        places.append([f for f in glob.glob(f"{store}/landing/*/*.gz") if os.path.getsize(f)])
+        setting.append(spark.conf.get(key))
+        real(spark, store)
+
+    monkeypatch.setattr(queries.live, "update", update)
+    run = queries._incremental_run(spark, "/root/testdata/sf0.001")
+    streamed = [f for seen in places for f in seen if f.split("/")[-2] in incremental.STREAMED]
+    assert len(places) == 3 and streamed == [] and set(setting) == {"true"}
+    e = Entities(spark, "/root/testdata/sf0.001")
+    for entity in incremental.STREAMED:
+        assert BatchTable(spark, f"{run['store']}/silver/{entity}").read().count() == e.bronze(entity).count()
+
+
+def test_an_emptied_landing_folder_takes_new_files(spark, tmp_path):
+    store, folder = str(tmp_path / "store"), str(tmp_path / "in")
+    schema = schemas.text_schema(["a"])
+    for n in range(2):
+        landing.land_json(spark.createDataFrame([(str(n),)], schema).coalesce(1), folder)
+        ingest.ingest_json(spark, folder, store, "x", schema)
+        landing.empty(spark, folder)
+        assert glob.glob(f"{folder}/*.json.gz") == []
+    rows = ingest.bronze_table(spark, store, "x").select("a").collect()
+    assert sorted(r[0] for r in rows) == ["0", "1"]
