@@ -387,3 +387,33 @@ def test_intersections_count_the_last_shingle(distinct):
     sets = [whole, whole[-5:], whole[: distinct // 2]]
     want = [[len(set(a.tolist()) & set(b.tolist())) for b in sets] for a in sets]
     assert minhash.intersections(sets).tolist() == want
+
+
+def _shuffles(frame):
+    return frame._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_rounds_of_the_graph_and_the_search_need_few_shuffles(spark):
+    """Each keeps threads and plans in the driver; with many of them it ran out of memory."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        edges = spark.createDataFrame([(1, 2, 0.5), (2, 3, 0.4)], "src long, dst long, sim double")
+        links = nn_descent.both_ways(edges, 4)
+        again = nn_descent.both_ways(edges.where("src = 1"), 4, links)
+        nodes = spark.createDataFrame([(1, b"1234")], "node long, code binary")
+        stored = spark.createDataFrame(links.collect(), links.schema)
+        assert _shuffles(nn_descent.both_ways(edges, 4, stored)) <= 2
+        assert _shuffles(nn_descent.descend(edges, stored, nodes, 4)) <= 6
+        state = spark.createDataFrame([(1, 2, 0.5, False, True)], nn_descent._STATE)
+        asked = spark.createDataFrame([(1, b"1234")], "query_id long, code binary")
+        index = nn_descent.Index(nodes, None, stored, None, None)
+        found = state.select("query_id", "node")
+        assert _shuffles(nn_descent._look(state, found, asked, index, 4, 2)) <= 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    got = {(r.v, r.member): (r.fresh, r.moved) for r in links.collect()}
+    assert got == {k: (True, True) for k in [(1, 2), (2, 1), (2, 3), (3, 2)]}
+    assert {(r.v, r.member): (r.fresh, r.moved) for r in again.collect()} == {
+        (1, 2): (False, False), (2, 1): (False, False)
+    }
