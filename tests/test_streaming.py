@@ -365,3 +365,38 @@ def test_an_emptied_landing_folder_takes_new_files(spark, tmp_path):
         assert glob.glob(f"{folder}/*.json.gz") == []
     rows = ingest.bronze_table(spark, store, "x").select("a").collect()
     assert sorted(r[0] for r in rows) == ["0", "1"]
+
+
+def test_stored_batches_are_sorted_where_asked(spark, tmp_path):
+    rows = spark.range(20_000).selectExpr(
+        "HEX(xxhash64(id)) AS id",
+        "IF(id = 7, NULL, CONCAT('c-', xxhash64(xxhash64(id) % 2000))) AS control_id",
+        "CONCAT('Findings on ', xxhash64(xxhash64(id) % 2000)) AS findings",
+    ).coalesce(1)
+    plain, near = str(tmp_path / "plain"), str(tmp_path / "near")
+    BatchTable(spark, plain).write(rows, 0)
+    table = BatchTable(spark, near, near=("control_id", "not_there"))
+    assert table.write(rows, 0) and not table.write(rows, 0)
+    keys = [r[0] for r in table.read().select("control_id").collect()]
+    assert keys[0] is None and keys[1:] == sorted(keys[1:])
+    assert table.read().exceptAll(rows).isEmpty() and table.counted() == (20_000, {})
+
+    def size(root):
+        return sum(os.path.getsize(f) for f in glob.glob(f"{root}/batch-0/*.parquet"))
+
+    assert size(near) < 0.85 * size(plain)
+
+
+def test_an_advance_sorts_what_it_stores(spark, tmp_path):
+    store, rows = str(tmp_path / "store"), []
+    for n in range(60):
+        rows.append({"assessment_id": str(n), "control_id": f"AC-{n * 37 % 60}", "system_id": "1"})
+    paths = {e: str(tmp_path / e) for e in incremental.STREAMED}
+    landing.land_csv(frame(spark, "assessments", rows).coalesce(1), paths["assessments"])
+    landing.land_csv(frame(spark, "systems", [{"system_id": "1"}]).coalesce(1), paths["systems"])
+    landing.land_json(frame(spark, "evidence", [{"evidence_id": "1"}]).coalesce(1), paths["evidence"])
+    incremental.advance(spark, paths, store)
+    for layer in ("bronze", "silver"):
+        stored = BatchTable(spark, f"{store}/{layer}/assessments").read()
+        keys = [r[0] for r in stored.select("control_id").collect()]
+        assert len(keys) == 60 and keys == sorted(keys)
