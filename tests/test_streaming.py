@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import by, day
 from tests.test_silver import frame
+from veritrail import session
 from veritrail.operators import quality, rollups
 from veritrail.operators import silver as s
 from veritrail.plans import incremental, landing, queries
@@ -334,6 +335,56 @@ def test_removal_of_shuffles_is_set_for_a_block_only(spark, tmp_path):
     assert spark.conf.get(key) == before
 
 
+def test_tasks_are_bounded_for_a_block_only(spark, tmp_path, monkeypatch):
+    """A task reads a bounded part of a file; a session that asks for less keeps that."""
+    read, merged = session.SIZES
+    before = {key: spark.conf.get(key, None) for key in (*session.SIZES, session.SPREAD)}
+    spark.range(200_000).selectExpr("xxhash64(id) AS x").coalesce(1).write.parquet(str(tmp_path / "x"))
+
+    def parts():
+        return spark.read.parquet(str(tmp_path / "x")).rdd.getNumPartitions()
+
+    assert parts() <= 8
+    monkeypatch.setattr(session, "TASK_BYTES", 20_000)
+    with session.bounded_tasks(spark):
+        assert parts() > 8
+        assert int(spark.conf.get(session.SPREAD)) == session.LEAST_SPREAD
+    try:
+        spark.conf.set(merged, "10kb")
+        spark.conf.set(session.SPREAD, "300")
+        with pytest.raises(ZeroDivisionError), session.bounded_tasks(spark):
+            assert (spark.conf.get(read), spark.conf.get(merged)) == ("20000", "10240")
+            assert spark.conf.get(session.SPREAD) == "300"
+            1 / 0
+        assert (spark.conf.get(merged), spark.conf.get(session.SPREAD)) == ("10kb", "300")
+    finally:
+        spark.conf.unset(merged)
+        spark.conf.unset(session.SPREAD)
+    assert {key: spark.conf.get(key, None) for key in before} == before and parts() <= 8
+
+
+def test_the_incremental_run_bounds_its_tasks(spark, monkeypatch):
+    def run(spark_, folder):
+        return {key: spark_.conf.get(key) for key in session.SIZES}
+
+    monkeypatch.setattr(queries, "_run_incremental", run)
+    monkeypatch.setattr(queries, "_identity", lambda *_: ("bounded",))
+    monkeypatch.setattr(queries, "_published", {})
+    seen = queries._incremental_run(spark, "none")
+    assert set(seen.values()) == {str(session.TASK_BYTES)}
+    assert spark.conf.get(session.SIZES[0]) != str(session.TASK_BYTES)
+
+
+def test_json_lands_at_the_level_asked_for(spark, tmp_path):
+    df = spark.range(20_000).selectExpr("id", "CONCAT('text ', id % 97, ' of ', id) AS value").coalesce(1)
+    size = {}
+    for level in (landing.USUAL, landing.FAST):
+        folder = landing.land_json(df, str(tmp_path / level), level=level)
+        size[level] = sum(os.path.getsize(f) for f in glob.glob(f"{folder}/*.json.gz"))
+        assert spark.read.schema(df.schema).json(folder).exceptAll(df).isEmpty()
+    assert size[landing.USUAL] < size[landing.FAST]
+
+
 def test_the_incremental_run_keeps_no_landed_text_and_no_shuffles(spark, tmp_path, monkeypatch):
     key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     places, setting = [], []
